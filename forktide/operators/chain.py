@@ -23,6 +23,7 @@ def canonical_chain(
     hash: str = "hash",
     seq: str = "seq",
     width: int = ranges.WIDTH,
+    max_heights: int | None = None,
 ) -> DataFrame:
     """Blocks that survive a feed with forks.
 
@@ -35,7 +36,11 @@ def canonical_chain(
     last = deliveries.groupBy(*keys, height).agg(
         F.max_by(hash, seq).alias(hash), F.max(seq).alias(seq)
     )
-    below = ranges.running_max_before(last, keys, height, seq, "_below", width)
+    if max_heights is not None and max_heights <= width:
+        lower = Window.partitionBy(*keys).orderBy(height).rowsBetween(Window.unboundedPreceding, -1)
+        below = last.coalesce(1).withColumn("_below", F.max(seq).over(lower))
+    else:
+        below = ranges.running_max_before(last, keys, height, seq, "_below", width)
     survives = F.col("_below").isNull() | (F.col(seq) > F.col("_below"))
     return below.filter(survives).select(*keys, height, hash, seq)
 

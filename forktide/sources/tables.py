@@ -11,8 +11,12 @@ from pyspark.sql import types as T
 
 from forktide.functions import clock, names
 from forktide.operators import contracts
+from forktide.operators.versions import latest_by_key
 
-PROCESSOR, EPOCH, INGEST_SEQ, MONTH, MOVE = "processor_id", "epoch", "ingest_seq", "ym", "mig"
+PROCESSOR, INGEST_SEQ = "processor_id", "ingest_seq"
+EPOCH, TOP = "epoch", "top_height"
+MONTH, MOVE = "ym", "mig"
+GENERATION = "gen"
 NO_MONTH = "none"
 
 
@@ -51,8 +55,8 @@ class EventTable:
         return F.coalesce(clock.year_month(F.col(self.timestamp)), F.lit(NO_MONTH))
 
     def write_order(self) -> list[str]:
-        """Row order inside files, for row-group skipping by height."""
-        return list(self.sort or (self.key + (self.height,) if not self.key else self.key))
+        """Row order inside files, for row-group skipping."""
+        return list(self.sort or self.key or (self.height,))
 
 
 @dataclass(frozen=True)
@@ -81,38 +85,40 @@ def _properties_sql(properties: dict[str, str]) -> str:
     return ", ".join(f"'{k}'='{v}'" for k, v in properties.items())
 
 
-def _create(
+def create_partitioned(
     spark: SparkSession,
     name: str,
     columns: str,
     partitions: Sequence[str],
     properties: dict[str, str],
 ) -> None:
-    by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    """The table option makes every overwrite replace only the partitions it writes."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} "
-        f"TBLPROPERTIES ({_properties_sql(properties)})"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"OPTIONS ({_properties_sql({'partitionOverwriteMode': 'dynamic'})}) "
+        f"PARTITIONED BY ({', '.join(partitions)}) TBLPROPERTIES ({_properties_sql(properties)})"
     )
 
 
 def create_event_table(spark: SparkSession, database: str, network: str, t: EventTable) -> None:
     """Create both zones; a table that exists is left alone.
 
-    Hot is partitioned by (processor, epoch), so replaying an epoch overwrites exactly its own rows
-    and settled epochs are dropped whole. Cold is by (processor, month, move).
+    Hot is partitioned by (processor, epoch, highest height of the epoch): replaying an epoch
+    overwrites exactly its own rows, and settled epochs are found in the catalog and dropped whole.
+    Cold is by (processor, month, move), where move is the cutoff of the move that wrote it.
     """
     contracts.require_contract({t.name: t.columns}, t.height, t.hash)
     hot, cold = t.zone(network, "hot"), t.zone(network, "cold")
     shared = {"key": ",".join(t.key), "height": t.height, "hash": t.hash}
     data = [(INGEST_SEQ, "bigint"), (PROCESSOR, "string")]
-    _create(
+    create_partitioned(
         spark,
         f"{database}.{hot}",
-        _columns_sql(t.schema, [*data, (EPOCH, "bigint")]),
-        [PROCESSOR, EPOCH],
+        _columns_sql(t.schema, [*data, (EPOCH, "bigint"), (TOP, "bigint")]),
+        [PROCESSOR, EPOCH, TOP],
         {"zone": "hot", **shared},
     )
-    _create(
+    create_partitioned(
         spark,
         f"{database}.{cold}",
         _columns_sql(t.schema, [*data, (MONTH, "string"), (MOVE, "bigint")]),
@@ -124,11 +130,12 @@ def create_event_table(spark: SparkSession, database: str, network: str, t: Even
 def create_snapshot_table(
     spark: SparkSession, database: str, network: str, t: SnapshotTable
 ) -> None:
-    _create(
+    """One table, partitioned by generation so that compaction can replace older ones."""
+    create_partitioned(
         spark,
         f"{database}.{t.table(network)}",
-        _columns_sql(t.schema, [(INGEST_SEQ, "bigint")]),
-        [],
+        _columns_sql(t.schema, [(INGEST_SEQ, "bigint"), (GENERATION, "bigint")]),
+        [GENERATION],
         {"zone": "single", "key": ",".join(t.key), "version": ",".join(t.version)},
     )
 
@@ -167,14 +174,19 @@ def drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, o
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Write the partitions ``df`` has rows for, replacing their content; columns go by name."""
-    columns = df.sparkSession.table(table).columns
-    (
-        df.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    """Write the partitions ``df`` has rows for, replacing their content; columns go by name.
+
+    Needs the option set by ``create_partitioned``: see ``require_dynamic``.
+    """
+    df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
+
+
+def require_dynamic(spark: SparkSession, table: str) -> None:
+    """Fail for a table whose overwrites would replace all of its partitions."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Storage Properties'")
+    row = details.first()
+    if row is None or "partitionOverwriteMode=dynamic" not in row["data_type"]:
+        raise ValueError(f"{table} would be overwritten as a whole; create it with create_tables")
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -207,15 +219,46 @@ def delete_where(spark: SparkSession, table: str, condition: Column) -> int:
             for c in by:
                 part = part & (F.col(c) == F.lit(r[c]))
             chosen = chosen | part
+        require_dynamic(spark, table)
         overwrite_partitions(rows.filter(chosen & ~doomed), table)
     drop_partitions(spark, table, [{c: r[c] for c in by} for r in touched if not r["left_over"]])
     spark.catalog.refreshTable(table)
     return sum(r["gone"] for r in touched)
 
 
+def _generation(spark: SparkSession, table: str) -> int:
+    return max((int(p[GENERATION]) for p in partitions_of(spark, table)), default=0)
+
+
+def upsert_snapshot(
+    df: DataFrame, database: str, network: str, t: SnapshotTable, order: Column
+) -> None:
+    """Append new versions (T12); ``order`` breaks ties between equal versions."""
+    spark = df.sparkSession
+    name = f"{database}.{t.table(network)}"
+    rows = df.select(*t.columns).withColumn(INGEST_SEQ, order.cast("bigint"))
+    append_rows(rows.withColumn(GENERATION, F.lit(_generation(spark, name))), name)
+
+
+def _newest_versions(spark: SparkSession, name: str, t: SnapshotTable) -> DataFrame:
+    rows = spark.table(name).drop(GENERATION)
+    return latest_by_key(rows, t.key, [*t.version, INGEST_SEQ])
+
+
 def read_snapshot(spark: SparkSession, database: str, network: str, t: SnapshotTable) -> DataFrame:
     """Newest version per key."""
-    from forktide.operators.versions import latest_by_key
+    return _newest_versions(spark, f"{database}.{t.table(network)}", t).select(*t.columns)
 
-    rows = spark.table(f"{database}.{t.table(network)}")
-    return latest_by_key(rows, t.key, [*t.version, INGEST_SEQ]).select(*t.columns)
+
+def compact_snapshot(spark: SparkSession, database: str, network: str, t: SnapshotTable) -> None:
+    """Rewrite the newest versions as a new generation, then drop the older ones.
+
+    Stopping in between leaves both, which reads the same.
+    """
+    name = f"{database}.{t.table(network)}"
+    old = partitions_of(spark, name)
+    generation = _generation(spark, name) + 1
+    overwrite_partitions(
+        _newest_versions(spark, name, t).withColumn(GENERATION, F.lit(generation)), name
+    )
+    drop_partitions(spark, name, old)
