@@ -97,4 +97,6 @@ def rolled_back_state(decided: DataFrame, cold_status: DataFrame | None = None)
         F.when(cleared, cold_hash).otherwise(F.col("hash")).alias("hash"),
         F.when(cleared, empty).otherwise(F.col("top")).alias("top"),
         text.first_nonzero(F.col("finalized_height"), F.col("height")).alias("finalized_height"),
+        "action",
+        "reason",
     )

@@ -236,7 +236,7 @@ def upsert_snapshot(
     """Append new versions (T12); ``order`` breaks ties between equal versions."""
     spark = df.sparkSession
     name = f"{database}.{t.table(network)}"
-    rows = df.select(*t.columns).withColumn(INGEST_SEQ, order.cast("bigint"))
+    rows = df.select(*t.columns, order.cast("bigint").alias(INGEST_SEQ))
     append_rows(rows.withColumn(GENERATION, F.lit(_generation(spark, name))), name)
 
 

@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,15 +184,13 @@ class ForkStore:
             self.check_contracts()
         self._load()
         now = F.lit(now_ms).cast("bigint") if now_ms is not None else clock.now_ms()
-        known = self.spark.range(1).select(F.lit(self.processor).alias("id"))
+        known = self.spark.range(0, 1, 1, 1).select(F.lit(self.processor).alias("id"))
         recovered = state.recover_state(self._status_rows(), known)
         decided = state.stale_decision(
             recovered, now, self.options.stale_threshold_ms, self.options.trust_quick_restart
         )
-        resumed = state.rolled_back_state(decided, self.cold_status())
-        before = decided.first()
-        row = resumed.first()
-        if before["action"] == "clear":
+        row = state.rolled_back_state(decided, self.cold_status()).first()
+        if row["action"] == "clear":
             self.clear_hot(row["height"], row["hash"])
         self._log("connection", ok=True)
         self._flush_log()
@@ -200,8 +199,8 @@ class ForkStore:
             row["hash"],
             tuple((b["height"], b["hash"]) for b in row["top"]),
             row["finalized_height"],
-            before["action"],
-            before["reason"],
+            row["action"],
+            row["reason"],
         )
 
     def check_contracts(self) -> None:
@@ -285,8 +284,8 @@ class ForkStore:
             .withColumn("version", F.lit(version).cast("bigint")),
             self._name(REGISTRY),
         )
-        found = tip.get
-        return None if found.get("height") is None else (found["height"], found["hash"])
+        found = _observed(tip)
+        return None if not found or found["height"] is None else (found["height"], found["hash"])
 
     def _drop_registry_versions(self, below: int) -> None:
         old = [
@@ -298,7 +297,7 @@ class ForkStore:
 
     def registry_bounds(self) -> DataFrame:
         """Highest, lowest and number of registered heights, and the finality threshold."""
-        known = self.spark.range(1).select(F.lit(self.processor).alias(PROCESSOR))
+        known = self.spark.range(0, 1, 1, 1).select(F.lit(self.processor).alias(PROCESSOR))
         found = chain.bounds(self.registry(), known)
         return found.withColumn(
             "threshold", blocks.threshold(F.col("highest"), self.options.depth)
@@ -450,7 +449,7 @@ class ForkStore:
 
             def to_registry() -> tuple[int, str] | None:
                 kept = self.registry(s.registry_version).filter(F.col("height") > top)
-                tip = self.spark.range(1).select(
+                tip = self.spark.range(0, 1, 1, 1).select(
                     F.lit(self.processor).alias(PROCESSOR),
                     F.lit(top).cast("bigint").alias("height"),
                     F.lit(top_hash).alias("hash"),
@@ -751,7 +750,7 @@ class ForkStore:
         self._state = new
 
     def _append_row(self, row: Mapping[str, Column], table: str) -> None:
-        tb.append_rows(self.spark.range(1).select(*[c.alias(n) for n, c in row.items()]), table)
+        tb.append_rows(self.spark.range(0, 1, 1, 1).select(*[c.alias(n) for n, c in row.items()]), table)
 
     def _hot_partitions(self) -> list[tuple[str, dict[str, str]]]:
         return [
@@ -837,7 +836,7 @@ class ForkStore:
     def _move_table(self, t: tb.EventTable, registry: DataFrame, cutoff: int) -> migration.TableMove:
         last = self._cutoffs[t.name]
         hot = self._committed_hot(t, self._state).filter(F.col(TOP) > last)
-        rows = migration.rows_to_move(
+        moving = migration.rows_to_move(
             hot,
             last,
             cutoff,
@@ -849,7 +848,7 @@ class ForkStore:
             hash=t.hash,
         )
         seen, written = Observation(), Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        rows = moving.observe(seen, F.count(F.lit(1)).alias("n"))
         if self.options.hooks.transform_rows is not None:
             context = migration.TransformContext(
                 self.spark, t.name, self.hot_name(t.name), self.cold_name(t.name), cutoff,
@@ -861,9 +860,14 @@ class ForkStore:
                     kept = kept.withColumn(column, value)
             rows = kept.observe(written, F.count(F.lit(1)).alias("n"))
             self._stage_cold(t, rows, cutoff, many_files=True)
-            return migration.TableMove(t.name, seen.get["n"], written.get["n"])
+            n_in, n_out = _observed(seen), _observed(written)
+            return migration.TableMove(
+                t.name, moving.count() if n_in is None else n_in["n"], n_out["n"] if n_out else 0
+            )
         self._stage_cold(t, rows, cutoff, many_files=True)
-        return migration.TableMove(t.name, seen.get["n"], seen.get["n"])
+        counted = _observed(seen)
+        n = counted["n"] if counted else 0
+        return migration.TableMove(t.name, n, n)
 
     def _reclaim(self, settled: int) -> None:
         """Drop hot epochs that lie at or below the cutoff before the one just committed.
@@ -991,9 +995,17 @@ class ForkStore:
             F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(op, fields)])
             for op in ops
         ]
-        rows = self.spark.range(1).select(F.inline(F.array(*entries)))
+        rows = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
         tb.append_rows(rows, self._name(OPS_LOG))
 
 
+def _observed(metrics: Observation) -> dict | None:
+    """Observed values, or None where Spark proved that part of a plan empty and removed it."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return None
+
+
 def _ms(started: float) -> int:
     return int((time.time() - started) * 1000)
