@@ -1,17 +1,18 @@
 """Unsigned 256-bit integers as zero-padded decimal text (F10, A5, value part of P5).
 
 Spark decimals stop at 38 digits, so a value is kept as 78 digits of text: text order is then
-numeric order. Arithmetic works on three limbs of 26 digits.
+numeric order. Sums and conversions work on limbs, smaller pieces of those digits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGITS = 78
-LIMB = 26
-BASE = 10**LIMB
+SUM_LIMB = 6
+PIECE = 18
+HEX_LIMB = 18
 
 
 def pad(c: Column) -> Column:
@@ -26,32 +27,41 @@ def _dec(n: int, precision: int) -> Column:
     return F.lit(str(n)).cast(f"decimal({precision},0)")
 
 
-def _carried(low: Column, mid: Column, high: Column) -> tuple[Column, Column, Column]:
-    """Move whatever exceeds 26 digits into the next limb."""
-    base = _dec(BASE, 27)
-    mid = mid + F.call_function("div", low, base)
-    high = high + F.call_function("div", mid, base)
-    return low % base, mid % base, high
-
-
-def _digits(limb: Column) -> Column:
-    return F.lpad(limb.cast(f"decimal({LIMB},0)").cast("string"), LIMB, "0")
-
-
-def _limb(padded: Column, index: int) -> Column:
-    """Limb 0 is the lowest. 28 digits of room lets a sum take 10^12 values of any size."""
-    start = DIGITS - LIMB * (index + 1) + 1
-    return F.substring(padded, start, LIMB).cast("decimal(28,0)")
+def _text(c: Column, digits: int) -> Column:
+    return F.lpad(c.cast(f"decimal({digits},0)").cast("string"), digits, "0")
 
 
 def sum_u256(padded: Column) -> Column:
     """Exact SUM as an aggregate expression; the total is decimal text and does not wrap.
 
-    Three decimal sums, so partial aggregation runs before the shuffle. Each sum has 38 digits:
-    room for 10^12 rows of 2^256-1 in one group, beyond which Spark reports an overflow.
+    Bigint sums of six digits each: they aggregate partially before the shuffle, in generated code.
+    A sum overflows, with an error, after 9 * 10^12 rows of 2^256-1 in one group. Text is parsed 18
+    digits at a time, and the 42 leading digits only where they are not all zero. Only the totals
+    are put together in decimals, four limbs to a part.
     """
-    low, mid, high = _carried(*[F.sum(_limb(padded, i)) for i in range(3)])
-    return unpad(F.concat(high.cast("string"), _digits(mid), _digits(low)))
+    upper = 42
+    small = F.substring(padded, 1, upper) == F.lit("0" * upper)
+    sums = []
+    for start in range(DIGITS - PIECE + 1, -PIECE, -PIECE):
+        size = PIECE if start > 0 else PIECE + start - 1
+        piece = F.substring(padded, max(start, 1), size).cast("bigint")
+        if start <= upper:
+            piece = F.when(small, F.lit(0)).otherwise(piece)
+        for place in range(0, size, SUM_LIMB):
+            limb = F.call_function("div", piece, F.lit(10**place).cast("bigint"))
+            sums.append(F.sum(limb % F.lit(10**SUM_LIMB)))
+    part_digits = 4 * SUM_LIMB
+    base = _dec(10**part_digits, part_digits + 1)
+    texts, carry = [], F.lit(0)
+    for first in range(0, len(sums), 4):
+        part = carry.cast("decimal(38,0)")
+        for place, limb in enumerate(sums[first : first + 4]):
+            part = part + limb.cast("decimal(19,0)") * _dec(10 ** (SUM_LIMB * place), 19)
+        part = part.cast("decimal(38,0)")
+        last = first + 4 >= len(sums)
+        texts.append(part.cast("string") if last else _text(part % base, part_digits))
+        carry = F.call_function("div", part, base)
+    return unpad(F.concat(*reversed(texts)))
 
 
 def fits_u256(total: Column) -> Column:
@@ -59,25 +69,55 @@ def fits_u256(total: Column) -> Column:
     return (F.length(total) <= DIGITS) & (pad(total) <= F.lit(str(2**256 - 1)))
 
 
-def hex_to_u256(hex_text: Column) -> Column:
-    """Up to 64 hex digits, with or without ``0x`` -> padded decimal text.
+def with_u256(df: DataFrame, out: str, hex_text: Column) -> DataFrame:
+    """Adds up to 64 hex digits, with or without ``0x``, as padded decimal text.
 
-    Eight 32-bit words are multiplied by constant limbs of 2^(32 i) and summed: every product has
-    at most 36 digits, so decimal arithmetic is exact.
+    Values below 2^124 are one decimal. For larger ones four 64-bit words are multiplied by the
+    limbs of 2^64, 2^128 and 2^192 and summed; no intermediate has more than 38 digits, and all are
+    NULL, which costs nothing, for the small ones. The steps are separate projections, so that each
+    intermediate is computed once.
     """
+    base = _dec(10**HEX_LIMB, HEX_LIMB + 1)
+    n_limbs = -(-DIGITS // HEX_LIMB)
     digits = F.lpad(F.regexp_replace(hex_text, "^0x", ""), 64, "0")
-    words = [
-        F.conv(F.substring(digits, 64 - 8 * (i + 1) + 1, 8), 16, 10).cast("decimal(10,0)")
-        for i in range(8)
-    ]
-    limbs = []
-    for j in range(3):
-        terms = [
-            word * _dec((2 ** (32 * i) // BASE**j) % BASE, LIMB) for i, word in enumerate(words)
-        ]
-        total = terms[0]
-        for term in terms[1:]:
-            total = total + term
-        limbs.append(total)
-    low, mid, high = _carried(*limbs)
-    return F.concat(_digits(high), _digits(mid), _digits(low))
+
+    def word(i: int) -> Column:
+        text = F.substring("_digits", 64 - 16 * (i + 1) + 1, 16)
+        return F.conv(text, 16, 10).cast("decimal(20,0)")
+
+    large = F.col("_large")
+    words = (
+        df.withColumn("_digits", digits)
+        .withColumn("_large", F.substring("_digits", 1, 33) != F.lit("0" * 33))
+        .withColumns(
+            {
+                "_w0": word(0),
+                "_w1": word(1),
+                "_w2": F.when(large, word(2)),
+                "_w3": F.when(large, word(3)),
+            }
+        )
+    )
+    limbs = {}
+    for j in range(n_limbs):
+        total = F.when(large, F.lit(0).cast("decimal(38,0)"))
+        for i in range(4):
+            factor = (2 ** (64 * i) // 10 ** (HEX_LIMB * j)) % 10**HEX_LIMB
+            if factor:
+                total = total + F.col(f"_w{i}") * _dec(factor, HEX_LIMB)
+        limbs[f"_s{j}"] = total.cast("decimal(38,0)")
+    parts = words.withColumns(limbs)
+    for j in range(n_limbs - 1):
+        low = F.col(f"_s{j}")
+        carry = ((low - low % base) / base).cast("decimal(21,0)")
+        parts = parts.withColumn(f"_s{j + 1}", (F.col(f"_s{j + 1}") + carry).cast("decimal(38,0)"))
+    text = F.concat(
+        *[_text(F.col(f"_s{j}") % base, HEX_LIMB) for j in reversed(range(n_limbs))]
+    )
+    scratch = ["_digits", *[f"_w{i}" for i in range(4)], *limbs]
+    start = n_limbs * HEX_LIMB - DIGITS + 1
+    plain = F.col("_w1") * _dec(2**64, 20) + F.col("_w0")
+    value = F.when(large, F.substring(text, start, DIGITS)).otherwise(
+        F.lpad(plain.cast("decimal(38,0)").cast("string"), DIGITS, "0")
+    )
+    return parts.withColumn(out, value).drop("_large", *scratch)

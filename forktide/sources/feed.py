@@ -49,11 +49,14 @@ def decode_transfers(blocks: DataFrame) -> DataFrame:
     """
     is_transfer = lambda log: F.get(log["topics"], 0) == TRANSFER_TOPIC
     log = F.col("log")
-    return blocks.withColumn("log", F.explode(F.filter("logs", is_transfer))).select(
+    rows = blocks.select(
+        "height", "hash", "ts", F.explode(F.filter("logs", is_transfer)).alias("log")
+    )
+    return u256.with_u256(rows, "value", log["data"]).select(
         text.address(log["address"]).alias("token"),
         text.topic_address(F.get(log["topics"], 1)).alias("from"),
         text.topic_address(F.get(log["topics"], 2)).alias("to"),
-        u256.hex_to_u256(log["data"]).alias("value"),
+        "value",
         "height",
         "hash",
         F.col("ts").alias("block_timestamp"),

@@ -75,13 +75,16 @@ def test_block_lists(spark):
 
 
 def test_u256_round_trips_and_sums(spark):
+    """Values on both sides of the 2^124 bound of the short path."""
     rng = random.Random(7)
     values = [rng.randrange(2 ** rng.randrange(1, 257)) for _ in range(500)]
-    values += [0, 1, 10**26 - 1, 10**26, 10**52, 2**256 - 1] + [2**256 - 1] * 50
+    values += [0, 1, 2**64 - 1, 2**64, 2**124 - 1, 2**124, 10**36 - 1, 10**36, 10**52, 2**256 - 1] + [2**256 - 1] * 50
     rows = spark.createDataFrame([(hex(v), str(v)) for v in values], "h string, d string")
-    both = rows.select(
-        "d", u256.hex_to_u256(F.col("h")).alias("a"), u256.pad(F.col("d")).alias("b")
-    ).withColumn("plain", u256.unpad(F.col("a")))
+    both = (
+        u256.with_u256(rows, "a", F.col("h"))
+        .withColumn("b", u256.pad(F.col("d")))
+        .withColumn("plain", u256.unpad(F.col("a")))
+    )
     assert both.filter("a <> b or plain <> d or length(a) <> 78").count() == 0
     total = both.agg(u256.sum_u256(F.col("a")).alias("t")).withColumn(
         "fits", u256.fits_u256(F.col("t"))
