@@ -13,6 +13,7 @@ DIGITS = 78
 SUM_LIMB = 6
 PIECE = 18
 HEX_LIMB = 18
+WORD = 15
 
 
 def pad(c: Column) -> Column:
@@ -20,7 +21,8 @@ def pad(c: Column) -> Column:
 
 
 def unpad(c: Column) -> Column:
-    return F.coalesce(F.nullif(F.ltrim(c, F.lit("0")), F.lit("")), F.when(c.isNotNull(), F.lit("0")))
+    trimmed = F.ltrim(c, F.lit("0"))
+    return F.when(trimmed == "", F.lit("0")).otherwise(trimmed)
 
 
 def _dec(n: int, precision: int) -> Column:
@@ -72,52 +74,46 @@ def fits_u256(total: Column) -> Column:
 def with_u256(df: DataFrame, out: str, hex_text: Column) -> DataFrame:
     """Adds up to 64 hex digits, with or without ``0x``, as padded decimal text.
 
-    Values below 2^124 are one decimal. For larger ones four 64-bit words are multiplied by the
-    limbs of 2^64, 2^128 and 2^192 and summed; no intermediate has more than 38 digits, and all are
+    Values below 2^120 are one decimal. For larger ones five words of 60 bits are multiplied by the
+    limbs of their powers of two and summed; no intermediate has more than 38 digits, and all are
     NULL, which costs nothing, for the small ones. The steps are separate projections, so that each
     intermediate is computed once.
     """
     base = _dec(10**HEX_LIMB, HEX_LIMB + 1)
-    n_limbs = -(-DIGITS // HEX_LIMB)
-    digits = F.lpad(F.regexp_replace(hex_text, "^0x", ""), 64, "0")
+    n_limbs, n_words = -(-DIGITS // HEX_LIMB), -(-64 // WORD)
+    digits = F.lpad(F.regexp_replace(hex_text, "^0x", ""), n_words * WORD, "0")
+    upper = (n_words - 2) * WORD
+    large = F.col("_large")
 
     def word(i: int) -> Column:
-        text = F.substring("_digits", 64 - 16 * (i + 1) + 1, 16)
-        return F.conv(text, 16, 10).cast("decimal(20,0)")
+        text = F.substring("_digits", (n_words - i - 1) * WORD + 1, WORD)
+        value = F.conv(text, 16, 10).cast("decimal(19,0)")
+        return value if i < 2 else F.when(large, value)
 
-    large = F.col("_large")
     words = (
         df.withColumn("_digits", digits)
-        .withColumn("_large", F.substring("_digits", 1, 33) != F.lit("0" * 33))
-        .withColumns(
-            {
-                "_w0": word(0),
-                "_w1": word(1),
-                "_w2": F.when(large, word(2)),
-                "_w3": F.when(large, word(3)),
-            }
-        )
+        .withColumn("_large", F.substring("_digits", 1, upper) != F.lit("0" * upper))
+        .withColumns({f"_w{i}": word(i) for i in range(n_words)})
     )
     limbs = {}
     for j in range(n_limbs):
         total = F.when(large, F.lit(0).cast("decimal(38,0)"))
-        for i in range(4):
-            factor = (2 ** (64 * i) // 10 ** (HEX_LIMB * j)) % 10**HEX_LIMB
+        for i in range(n_words):
+            factor = (2 ** (4 * WORD * i) // 10 ** (HEX_LIMB * j)) % 10**HEX_LIMB
             if factor:
                 total = total + F.col(f"_w{i}") * _dec(factor, HEX_LIMB)
         limbs[f"_s{j}"] = total.cast("decimal(38,0)")
     parts = words.withColumns(limbs)
     for j in range(n_limbs - 1):
-        low = F.col(f"_s{j}")
-        carry = ((low - low % base) / base).cast("decimal(21,0)")
+        carry = F.call_function("div", F.col(f"_s{j}"), base)
         parts = parts.withColumn(f"_s{j + 1}", (F.col(f"_s{j + 1}") + carry).cast("decimal(38,0)"))
     text = F.concat(
         *[_text(F.col(f"_s{j}") % base, HEX_LIMB) for j in reversed(range(n_limbs))]
     )
-    scratch = ["_digits", *[f"_w{i}" for i in range(4)], *limbs]
+    scratch = ["_digits", "_large", *[f"_w{i}" for i in range(n_words)], *limbs]
     start = n_limbs * HEX_LIMB - DIGITS + 1
-    plain = F.col("_w1") * _dec(2**64, 20) + F.col("_w0")
+    plain = F.col("_w1") * _dec(2 ** (4 * WORD), 19) + F.col("_w0")
     value = F.when(large, F.substring(text, start, DIGITS)).otherwise(
         F.lpad(plain.cast("decimal(38,0)").cast("string"), DIGITS, "0")
     )
-    return parts.withColumn(out, value).drop("_large", *scratch)
+    return parts.withColumn(out, value).drop(*scratch)

@@ -87,26 +87,36 @@ def _word(c: Column, width: int) -> Column:
 
 def log_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Feed rows whose logs array holds one Transfer and one other log per order line."""
-    cents = d.cents("l_extendedprice")
     height = F.call_function("div", F.col("l_orderkey"), F.lit(4))
-    token = F.concat(F.lit("0x"), _word(F.col("l_partkey"), 40))
-    topics = [F.concat(F.lit("0x"), _word(F.col(c), 64)) for c in ("l_suppkey", "l_orderkey")]
-    value = F.concat(F.lit("0x"), F.lower(_word(F.col("l_suppkey"), 48)), F.lower(_word(cents, 16)))
+    order = _word(F.col("l_orderkey"), 64)
+    parts = d.table(spark, sf, "lineitem").select(
+        height.alias("height"),
+        F.col("l_shipdate").alias("ts"),
+        F.concat(F.lit("0x"), _word(F.col("l_partkey"), 40)).alias("address"),
+        F.concat(F.lit("0x"), _word(F.col("l_suppkey"), 64)).alias("sender"),
+        F.concat(F.lit("0x"), order).alias("receiver"),
+        F.concat(
+            F.lit("0x"),
+            F.lower(_word(F.col("l_suppkey"), 48)),
+            F.lower(_word(d.cents("l_extendedprice"), 16)),
+        ).alias("data"),
+        F.col("l_linenumber").cast("bigint").alias("logIndex"),
+    )
 
     def log(signature: str) -> Column:
         return F.struct(
-            token.alias("address"),
-            F.array(F.lit(signature), *topics).alias("topics"),
-            value.alias("data"),
-            F.concat(F.lit("0x"), F.lower(_word(F.col("l_orderkey"), 64))).alias("transactionHash"),
-            F.col("l_linenumber").cast("bigint").alias("logIndex"),
+            "address",
+            F.array(F.lit(signature), "sender", "receiver").alias("topics"),
+            "data",
+            F.lower("receiver").alias("transactionHash"),
+            "logIndex",
         )
 
     other = "0x" + "8c" * 32
-    return d.table(spark, sf, "lineitem").select(
-        height.alias("height"),
-        d.block_hash(height).alias("hash"),
-        F.col("l_shipdate").alias("ts"),
+    return parts.select(
+        "height",
+        d.block_hash(F.col("height")).alias("hash"),
+        "ts",
         F.array(log(feed.TRANSFER_TOPIC), log(other)).alias("logs"),
     )
 

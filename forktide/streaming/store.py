@@ -336,6 +336,7 @@ class ForkStore:
             max_blocks=max(s.height - cutoff, 0),
             height=t.height,
             hash=t.hash,
+            salt_by=t.key,
         )
         if t.key:
             hot = latest_by_key(hot, t.key, [EPOCH, INGEST_SEQ])
@@ -846,6 +847,7 @@ class ForkStore:
             max_blocks=cutoff - last,
             height=t.height,
             hash=t.hash,
+            salt_by=t.key,
         )
         seen, written = Observation(), Observation()
         rows = moving.observe(seen, F.count(F.lit(1)).alias("n"))

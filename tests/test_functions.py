@@ -75,10 +75,10 @@ def test_block_lists(spark):
 
 
 def test_u256_round_trips_and_sums(spark):
-    """Values on both sides of the 2^124 bound of the short path."""
+    """Values on both sides of the 2^120 bound of the short path."""
     rng = random.Random(7)
     values = [rng.randrange(2 ** rng.randrange(1, 257)) for _ in range(500)]
-    values += [0, 1, 2**64 - 1, 2**64, 2**124 - 1, 2**124, 10**36 - 1, 10**36, 10**52, 2**256 - 1] + [2**256 - 1] * 50
+    values += [0, 1, 2**64 - 1, 2**64, 2**120 - 1, 2**120, 2**180 - 1, 2**240, 10**36 - 1, 10**36, 10**52, 2**256 - 1] + [2**256 - 1] * 50
     rows = spark.createDataFrame([(hex(v), str(v)) for v in values], "h string, d string")
     both = (
         u256.with_u256(rows, "a", F.col("h"))
