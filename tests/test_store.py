@@ -8,10 +8,12 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from forktide.operators import analytics, oplog
 from forktide.operators.contracts import ContractError
 from forktide.operators.migration import MigrationHooks, MigrationResult
+from forktide.sources import feed
 from forktide.sources import tables as tb
-from forktide.streaming.runner import run_feed
+from forktide.streaming.runner import drop_repeated, run_feed
 from forktide.streaming.store import FinalityError, ForkStore, StoreOptions
 from model import random_deliveries, stack_chain
 
@@ -111,6 +113,9 @@ def test_fork_across_batches_and_registry(spark):
     assert store._state.finalized_height == 3, "finality never steps back"
     ops = {r["op"]: r for r in store.operations().collect()}
     assert ops["fork_executed"]["amount"] == 2 and ops["fork_executed"]["height"] == 10
+    counters = oplog.summary(store.operations()).first()
+    assert (counters["hot_blocks_processed"], counters["blocks_rolled_back"]) == (15, 2)
+    assert (counters["inserts"], counters["status_updates"], counters["connections"]) == (2, 2, 1)
     rows = batch(spark, blocks(1, 13) + blocks(11, 13, "b", 20))
     old_rule = store.valid_filter(rows, 13)
     assert old_rule.filter("hash like 'b%'").count() == 6
@@ -504,6 +509,50 @@ def test_stream_restarts_after_a_failed_batch(spark, tmp_path):
     assert (seen(back), back._state.epoch) == (want, epoch), "no new files, no new epoch"
 
 
+def test_repeated_rows_are_dropped_within_the_delay(spark, tmp_path):
+    source, out = str(tmp_path / "feed"), f"repeated_{uuid.uuid4().hex[:8]}"
+    rows = batch(spark, blocks(1, 6)).select("id", "height", "hash", "seq", "at")
+    rows.unionByName(rows).write.mode("append").parquet(source)
+    stream = drop_repeated(
+        spark.readStream.schema(rows.schema).parquet(source), ["id", "hash", "seq"], "at", "1 day"
+    )
+    query = stream.writeStream.format("memory").queryName(out).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table(out).count() == 12
+
+
+def test_transfers_from_logs_to_totals(spark):
+    """Nested logs through the decoder into a keyed table with 256-bit values."""
+    transfers = tb.EventTable(
+        "erc20_transfers",
+        "token string, `from` string, `to` string, value string, height bigint, hash string, "
+        "block_timestamp timestamp, tx_hash string, log_index bigint",
+        key=("token", "height", "log_index"), timestamp="block_timestamp", u256=("value",),
+    )
+    store = ForkStore(spark, f"t_{uuid.uuid4().hex[:10]}", [transfers], options=StoreOptions(hot_blocks_depth=3))
+    store.connect()
+    topic = "0x" + "0" * 24 + "Ab" * 20
+    amounts = {1: 2**255, 2: 7, 3: 2**200, 4: 9}
+
+    def log_rows(heights, fork, seq):
+        return [
+            (h, f"{fork}{h}", None, [(f"0x{h % 2}", [feed.TRANSFER_TOPIC, topic, topic], hex(amounts[h]), "0xt", 1)],
+             seq + i, 2)
+            for i, h in enumerate(heights)
+        ]
+
+    rows = spark.createDataFrame(
+        log_rows([1, 2, 3, 4], "a", 0) + log_rows([3, 4], "b", 10),
+        feed.BLOCK_SCHEMA + ", seq bigint, finalized_height bigint",
+    )
+    store.apply_hot(rows, lambda df: {"erc20_transfers": feed.decode_transfers(df)}, "s", 0)
+    assert store.migrate().cutoff_height == 1
+    totals = analytics.top_tokens(store.visible("erc20_transfers"))
+    assert [tuple(r) for r in totals.collect()] == [
+        ("0x0", 2, "16"), ("0x1", 2, str(2**255 + 2**200)),
+    ]
+
+
 # ---- tables ----------------------------------------------------------------------------------------
 
 
