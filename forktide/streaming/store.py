@@ -30,6 +30,7 @@ from forktide.sources.tables import EPOCH, INGEST_SEQ, MONTH, MOVE, PROCESSOR, T
 Handler = Callable[[DataFrame], Mapping[str, DataFrame]]
 
 ERA = 256
+KEPT_VERSIONS = 32
 REGISTRY = "valid_blocks"
 OPS_LOG = "ops_log"
 MOVED, COMPACTED = "move", "compact"
@@ -249,16 +250,22 @@ class ForkStore:
             whole.select("id", "height", "hash", "epoch", "timestamp"), ["id"], ["height", "epoch", "timestamp"]
         ).select("id", "height", "hash")
 
-    def _read_cutoffs(self) -> dict[str, int]:
-        """Committed cutoff per table, -1 before the first move."""
-        moves = self._commits().filter(F.col("kind") == MOVED)
-        found = moves.select(F.explode("tables").alias("t"), "height").groupBy("t").agg(F.max("height"))
-        cutoffs = {r[0]: r[1] for r in found.collect()}
-        return {t: cutoffs.get(t, -1) for t in self.events}
+    def _read_commits(self) -> tuple[dict[str, int], dict[tuple[str, str], int]]:
+        """Committed cutoff per table (-1 before the first move), and compacted months."""
+        found = (
+            self._commits()
+            .select("kind", "month", "height", F.explode("tables").alias("t"))
+            .groupBy("kind", "month", "t")
+            .agg(F.max("height").alias("height"))
+            .collect()
+        )
+        moved = {r["t"]: r["height"] for r in found if r["kind"] == MOVED}
+        compacted = {(r["t"], r["month"]): r["height"] for r in found if r["kind"] == COMPACTED}
+        return {t: moved.get(t, -1) for t in self.events}, compacted
 
     def _load(self) -> None:
         self._state = self._read_state()
-        self._cutoffs = self._read_cutoffs()
+        self._cutoffs, _ = self._read_commits()
 
     def _lowest_cutoff(self) -> int:
         return min(self._cutoffs.values(), default=-1)
@@ -288,6 +295,8 @@ class ForkStore:
         return None if not found or found["height"] is None else (found["height"], found["hash"])
 
     def _drop_registry_versions(self, below: int) -> None:
+        """Keeps some versions for readers that took their status row a while ago."""
+        below = min(below, self._state.epoch - KEPT_VERSIONS)
         old = [
             p
             for p in tb.partitions_of(self.spark, self._name(REGISTRY), processor_id=self.processor)
@@ -323,11 +332,13 @@ class ForkStore:
         """The table as of the last commit, every valid row once.
 
         Cold up to the committed cutoff, hot above it where the block is registered. With a height
-        range a zone that cannot contribute is not scanned.
+        range a zone that cannot contribute is not scanned. The commit is looked up when this is
+        called: call it anew for each query instead of keeping the DataFrame over later moves.
         """
         t = self.events[table]
         s = self._read_state()
-        cutoff = self._read_cutoffs()[table]
+        cutoffs, compacted = self._read_commits()
+        cutoff = cutoffs[table]
         hot = self._committed_hot(t, s).filter(F.col(TOP) > cutoff).filter(F.col(t.height) > cutoff)
         blocks_above = self.registry(s.registry_version).filter(F.col("height") > cutoff)
         hot = visible.registered_rows(
@@ -340,7 +351,7 @@ class ForkStore:
         )
         if t.key:
             hot = latest_by_key(hot, t.key, [EPOCH, INGEST_SEQ])
-        cold = self._committed_cold(t, cutoff)
+        cold = self._committed_cold(t, cutoff, compacted)
         if height_from is not None:
             # A move holds heights up to its number, so older moves are pruned as partitions.
             cold = cold.filter((F.col(MOVE) < 0) | (F.col(MOVE) >= height_from))
@@ -360,7 +371,9 @@ class ForkStore:
             (F.col(PROCESSOR) == self.processor) & (F.col(EPOCH) <= s.epoch)
         )
 
-    def _committed_cold(self, t: tb.EventTable, cutoff: int) -> DataFrame:
+    def _committed_cold(
+        self, t: tb.EventTable, cutoff: int, compacted: Mapping[tuple[str, str], int]
+    ) -> DataFrame:
         """Cold partitions that are committed: a static partition filter.
 
         A move drops uncommitted leftovers above the last cutoff before it writes, so every
@@ -368,18 +381,14 @@ class ForkStore:
         """
         name = self.cold_name(t.name)
         self.spark.catalog.refreshTable(name)
-        compacted = (
-            self._commits()
-            .filter((F.col("kind") == COMPACTED) & F.array_contains("tables", t.name))
-            .groupBy("month")
-            .agg(F.max("height").alias("upto"))
-            .collect()
-        )
-        plain = (F.col(MOVE) >= 0) & (F.col(MOVE) <= cutoff)
-        chosen = plain & ~F.col(MONTH).isin([r["month"] for r in compacted]) if compacted else plain
-        for r in compacted:
-            newer = (F.col(MOVE) == -r["upto"]) | ((F.col(MOVE) > r["upto"]) & (F.col(MOVE) <= cutoff))
-            chosen = chosen | ((F.col(MONTH) == r["month"]) & newer)
+        month, move = F.col(MONTH), F.col(MOVE)
+        done = {m: upto for (table, m), upto in compacted.items() if table == t.name}
+        chosen = (move >= 0) & (move <= cutoff)
+        if done:
+            chosen = chosen & ~month.isin(list(done))
+        for m, upto in done.items():
+            newer = (move == -upto) | ((move > upto) & (move <= cutoff))
+            chosen = chosen | ((month == m) & newer)
         return self.spark.table(name).filter((F.col(PROCESSOR) == self.processor) & chosen)
 
     def snapshot(self, table: str) -> DataFrame:
@@ -907,7 +916,7 @@ class ForkStore:
         found = lookups.hash_by_height(
             at.limit(0),
             at,
-            stored(self._committed_cold(t, self._cutoffs[t.name])),
+            stored(self._committed_cold(t, self._cutoffs[t.name], self._read_commits()[1])),
             stored(self._committed_hot(t, self._state)),
         ).first()
         return None if found is None else found["hash"]
@@ -926,10 +935,8 @@ class ForkStore:
             for p in tb.partitions_of(self.spark, name, processor_id=self.processor)
             if p[MONTH] == month
         ]
-        done = self._commits().filter(
-            (F.col("kind") == COMPACTED) & (F.col("month") == month)
-            & F.array_contains("tables", table)
-        ).agg(F.max("height")).first()[0]
+        compacted = self._read_commits()[1]
+        done = compacted.get((table, month))
         moves = [int(p[MOVE]) for p in parts]
         fresh = [m for m in moves if (done or 0) < m <= cutoff]
         if cutoff <= 0 or not fresh:
@@ -938,7 +945,7 @@ class ForkStore:
         live = [m for m in moves if m == -(done or 0) or m in fresh]
         dead = [p for p in parts if int(p[MOVE]) not in live and int(p[MOVE]) <= cutoff]
         tb.drop_partitions(self.spark, name, dead)
-        rows = self._committed_cold(t, cutoff).filter(F.col(MONTH) == month)
+        rows = self._committed_cold(t, cutoff, compacted).filter(F.col(MONTH) == month)
         merged = rows.withColumn(MOVE, F.lit(-upto).cast("bigint"))
         tb.overwrite_partitions(
             merged.hint("rebalance", MONTH).sortWithinPartitions(*t.write_order()), name

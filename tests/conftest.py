@@ -11,7 +11,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("forktide-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.leafNodeDefaultParallelism", "2")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))

@@ -90,8 +90,8 @@ def stop(*_, **__):
 
 def test_random_forks_against_a_stack(spark):
     store = new_store(spark, auto_migrate=True, migration_interval=20, hot_blocks_depth=4)
-    feed = random_deliveries(random.Random(5), 110, 0.12, max_depth=5)
-    size, tip = 22, 0
+    feed = random_deliveries(random.Random(5), 90, 0.12, max_depth=5)
+    size, tip = 30, 0
     for n, start in enumerate(range(0, len(feed), size)):
         part = feed[start : start + size]
         store.apply_hot(batch(spark, part, finalized=max(tip - 7, -1)), to_events, "s", n)
@@ -472,11 +472,11 @@ def test_status_eras_are_dropped(spark, monkeypatch):
 
     monkeypatch.setattr(module, "ERA", 2)
     store = new_store(spark)
-    for n in range(6):
+    for n in range(4):
         store.apply_hot(batch(spark, blocks(n, n, "a", n)), to_events, "s", n)
     eras = {p["era"] for p in tb.partitions_of(spark, store._status_name, id="default")}
-    assert eras == {"2", "3"}
-    assert again(spark, store)._state.epoch == 6
+    assert eras == {"1", "2"}
+    assert again(spark, store)._state.epoch == 4
 
 
 # ---- streams ---------------------------------------------------------------------------------------
