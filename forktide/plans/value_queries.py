@@ -82,7 +82,7 @@ def normalised_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _word(c: Column, width: int) -> Column:
-    return F.lpad(F.hex(c), width, "0")
+    return u256.zero_filled(F.hex(c), width)
 
 
 def log_blocks(spark: SparkSession, sf: str) -> DataFrame:
