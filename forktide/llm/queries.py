@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import token_counts
-from forktide.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
+from forktide.llm import language_id, token_counts
+from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -22,3 +22,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars"
     )
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from those whose key has crc32 mod 4 other than 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    trees = language_id.learn_from(docs.filter(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), trees)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
