@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import language_id, token_counts
+from forktide.llm import html_text, language_id, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -32,3 +32,23 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = language_id.learn_from(docs.filter(~held_out))
     found = language_id.predict(docs.select("doc_id", "text"), trees)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"), keep=("url",))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learned from those whose key has crc32 mod 3 other than 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = crc_mod("doc_id", 3) == 1
+    labelled = labels.filter(~held_out & F.col("quality").isin(0, 1)).join(docs, "doc_id")
+    scored = quality.score(docs, quality.learn_from(labelled))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
