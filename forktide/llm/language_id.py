@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forktide.llm.common import bounded_sample
 
@@ -195,5 +196,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", te
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType(
+        [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    )
     return docs.mapInArrow(run, schema)
