@@ -24,6 +24,7 @@ from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 WINDOW = 3
 SHARE = 0.2
@@ -270,7 +271,10 @@ def _stretches(texts: list[str], lengths: list[int], whole: bool) -> list[str]:
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per page: key, the columns in ``keep``, ``text`` and ``n_chars``."""
-    schema = pages.select(key, *keep).schema.add("text", "string").add("n_chars", "bigint")
+    fields = pages.select(key, *keep).schema.fields
+    schema = T.StructType(
+        [*fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
