@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import fingerprints, html_text, language_id, quality, token_counts
+from forktide.llm import decontamination, fingerprints, html_text, language_id, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -58,3 +58,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with estimated similarities."""
     return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that share a passage, words replaced or not."""
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
