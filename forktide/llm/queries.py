@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import decontamination, fingerprints, html_text, language_id, quality, token_counts
+from forktide.llm import decontamination, fingerprints, html_text, language_id, ngram_join, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -64,3 +64,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that share a passage, words replaced or not."""
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_ngram_join")
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, at a Jaccard similarity of 0.8 of five-word shingles."""
+    found = ngram_join.links(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
