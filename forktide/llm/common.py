@@ -45,17 +45,20 @@ def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(df: DataFrame, key: str, text: str, by: str, per_value: int, max_chars: int) -> DataFrame:
-    """About ``per_value`` whole rows of each value of ``by``, the same ones at every run.
+def bounded_sample(labels: DataFrame, docs: DataFrame, key: str, by: str, per_value: int, max_chars: int) -> DataFrame:
+    """About ``per_value`` rows of each value of ``by`` with their whole texts, the same at every run.
 
-    A bounded training sample: rows are chosen by a hash of their key, texts of more than
-    ``max_chars`` are left out, so at most some ``values * per_value * max_chars`` characters come.
+    A bounded training sample: keys are chosen by a hash, texts of more than ``max_chars`` characters
+    are left out, so at most some ``values * per_value * max_chars`` characters come. Only the chosen
+    keys (a bounded number) are joined with ``docs`` (key and text); no text is shuffled.
     """
-    fit = df.filter(F.col(by).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars))
+    fit = labels.filter(F.col(by).isNotNull() & F.col(key).isNotNull()).select(key, by).distinct()
     sizes = fit.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     rate = F.lit(float(per_value)) / F.col("_n")
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 20)) / float(1 << 20)
-    return fit.join(F.broadcast(sizes), by).filter(draw < rate).drop("_n")
+    chosen = fit.join(F.broadcast(sizes), by).filter(draw < rate).drop("_n")
+    text = next(c for c in docs.columns if c != key)
+    return docs.filter(F.length(text) <= max_chars).join(F.broadcast(chosen), key)
 
 
 def texts_of(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -168,7 +168,7 @@ def learn_from(
     per_language: int = DOCUMENTS_PER_LANGUAGE, max_chars: int = MAX_CHARS,
 ) -> ContextTrees | None:
     """Trees from a bounded sample of whole labelled texts; None if there are none."""
-    sample = bounded_sample(labelled.select(key, text, lang), key, text, lang, per_language, max_chars)
+    sample = bounded_sample(labelled, labelled.select(key, text), key, lang, per_language, max_chars)
     rows = [(r[0], r[1].encode()) for r in sample.select(lang, text).toLocalIterator()]
     rows.sort()
     return learn(rows) if rows else None

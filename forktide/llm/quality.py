@@ -258,11 +258,11 @@ def probabilities(texts: list[bytes], net: Network | None) -> np.ndarray:
 
 
 def learn_from(
-    labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    labels: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     per_label: int = PER_LABEL, max_chars: int = MAX_CHARS,
 ) -> Network | None:
     """Trained on a bounded sample of the labelled rows, whole texts."""
-    sample = bounded_sample(labelled.select(key, text, label), key, text, label, per_label, max_chars)
+    sample = bounded_sample(labels, docs.select(key, text), key, label, per_label, max_chars)
     rows = [(int(r[0]), r[1].encode()) for r in sample.select(label, text).toLocalIterator()]
     rows.sort()
     return learn(rows)

@@ -47,8 +47,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     held_out = crc_mod("doc_id", 3) == 1
-    labelled = labels.filter(~held_out & F.col("quality").isin(0, 1)).join(docs, "doc_id")
-    scored = quality.score(docs, quality.learn_from(labelled))
+    labels = labels.filter(~held_out & F.col("quality").isin(0, 1))
+    scored = quality.score(docs, quality.learn_from(labels, docs))
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
