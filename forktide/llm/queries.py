@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import decontamination, fingerprints, html_text, language_id, ngram_join, quality, token_counts
+from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -71,3 +71,14 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document, at a Jaccard similarity of 0.8 of five-word shingles."""
     found = ngram_join.links(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query("op3_class_lm")
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; learned from those whose key has crc32 mod 7 other than 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    scored = class_lm.score(docs, *class_lm.fit(docs.filter(~held_out)))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
