@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, quality, token_counts
+from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, piece_sampling, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
 
@@ -82,3 +83,11 @@ def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
     )
+
+
+@query("op4_piece_sampling")
+def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, with inclusion scores."""
+    return piece_sampling.segmentations(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_VOCABULARY), with_ids=False
+    )
