@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, piece_sampling, quality, token_counts
+from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, pii, piece_sampling, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -91,3 +91,12 @@ def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.segmentations(
         table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_VOCABULARY), with_ids=False
     )
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans by kind, and all spans."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(kind, "base").alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.written("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.written("spans").alias("spans"))
