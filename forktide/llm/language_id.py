@@ -38,6 +38,8 @@ MAX_CHARS = 50_000
 # Beyond this many bytes, evidence counts as if the text had this many: the score stays below 1.
 EVIDENCE_BYTES = 24
 SLICE_BYTES = 1 << 20
+# A text is accepted from this score on; with EVIDENCE_BYTES even short plain sentences reach it.
+LEAST_SCORE = 0.3
 
 
 @dataclass(frozen=True)
@@ -174,6 +176,29 @@ def learn_from(
     return learn(rows) if rows else None
 
 
+def _predicted(texts: list[str | None], trees: ContextTrees) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the language (one past the last: unknown) and score of each text."""
+    data = [t.encode() if t else b"" for t in texts]
+    bits = code_lengths(data, trees)
+    lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts], bool)
+    best = np.where(lettered, bits.argmin(1), len(trees.languages))
+    return best, np.where(lettered, confidence(bits, np.array([len(d) for d in data])), 0.0)
+
+
+def accepted(docs: DataFrame, trees: ContextTrees | None, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """Rows of ``docs``, all columns, whose language is known with at least score ``least``."""
+    if trees is None:
+        return docs.filter(F.lit(False))
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best, score = _predicted(batch.column(text).to_pylist(), shared.value)
+            yield batch.filter(pa.array((best < len(shared.value.languages)) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``score`` (existing ones are replaced)."""
     docs = docs.drop("lang_pred", "score")
@@ -185,12 +210,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", te
         model = shared.value
         names = pa.array([*model.languages, UNKNOWN])
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            data = [t.encode() if t else b"" for t in texts]
-            bits = code_lengths(data, model)
-            lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts], bool)
-            best = np.where(lettered, bits.argmin(1), len(model.languages))
-            score = np.where(lettered, confidence(bits, np.array([len(d) for d in data])), 0.0)
+            best, score = _predicted(batch.column(text).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, names.take(pa.array(best)), pa.array(score)],
                 names=[*batch.schema.names, "lang_pred", "score"],
