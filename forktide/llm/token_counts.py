@@ -29,14 +29,14 @@ from forktide.llm.common import texts_of
 
 # Words kept per Python worker, in two generations: when the younger one is full it becomes the
 # older one, so common words stay and memory is bounded.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
 KEPT_PAIRS = 2_000_000
 LONGEST_KEPT = 48  # code points, so a count fits a byte
 
 # The word pattern of the public byte-level vocabularies, and their byte alphabet
 # (printable bytes stand for themselves, the others for code points from 256 on).
 WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+    r" ?\p{L}++| ?\p{N}++|'(?:[stmd]|re|ve|ll)| ?[^\p{White_Space}\p{L}\p{N}]++"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 CONTRACTIONS = ("'re", "'ve", "'ll")
@@ -111,12 +111,12 @@ class PrefixCounter:
         last = [b""] * (n + 1)
         for i in range(1, n + 1):
             for j in range(i - 1, max(-1, i - 1 - longest[word[i - 1]]), -1):
-                t = word[j:i]
-                fits = after[j].get(t)
+                t, row = word[j:i], after[j]
+                fits = row.get(t)
                 if fits is None:
                     if t not in tokens:
                         continue
-                    fits = after[j][t] = j == 0 or self.apart(last[j], t)
+                    fits = row[t] = j == 0 or self.apart(last[j], t)
                     self._pairs += 1
                 if fits:
                     count[i], last[i] = count[j] + 1, t
