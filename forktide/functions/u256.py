@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from forktide.functions.text import strip_hex
 
 DIGITS = 78
+MOST = 2**256 - 1
+HEX_DIGITS = 64
 SUM_LIMB = 6
 PIECE = 18
 HEX_LIMB = 18
@@ -23,8 +25,19 @@ def zero_filled(c: Column, digits: int) -> Column:
     return F.substring(F.concat(F.lit("0" * digits), c), -digits, digits)
 
 
+def _checked(text: Column, good: Column, value: Column) -> Column:
+    """``value`` where the text is good, NULL where it is NULL, an error where it is anything else."""
+    problem = F.raise_error(F.concat(F.lit("not an unsigned 256-bit integer: "), text))
+    return F.when(text.isNull(), F.lit(None).cast("string")).when(good, value).otherwise(problem)
+
+
 def pad(c: Column) -> Column:
-    return zero_filled(c.cast("string"), DIGITS)
+    """78 digits of decimal text; an error for other text and for values above 2^256 - 1."""
+    text = c.cast("string")
+    filled = zero_filled(text, DIGITS)
+    good = (F.length(text) <= DIGITS) & (F.length(text) > 0)
+    good = good & (F.translate(text, "0123456789", "") == "") & (filled <= F.lit(str(MOST)))
+    return _checked(text, good, filled)
 
 
 def unpad(c: Column) -> Column:
@@ -75,11 +88,11 @@ def sum_u256(padded: Column) -> Column:
 
 def fits_u256(total: Column) -> Column:
     """False where a total is larger than 2^256 - 1."""
-    return (F.length(total) <= DIGITS) & (pad(total) <= F.lit(str(2**256 - 1)))
+    return (F.length(total) <= DIGITS) & (zero_filled(total, DIGITS) <= F.lit(str(MOST)))
 
 
 def with_u256(df: DataFrame, out: str, hex_text: Column) -> DataFrame:
-    """Adds up to 64 hex digits, with or without ``0x``, as padded decimal text.
+    """Adds up to 64 hex digits, with or without ``0x``, as padded decimal text; an error for other text.
 
     Values below 2^120 are one decimal. For larger ones five words of 60 bits are multiplied by the
     limbs of their powers of two and summed; no intermediate has more than 38 digits, and all are
@@ -88,7 +101,11 @@ def with_u256(df: DataFrame, out: str, hex_text: Column) -> DataFrame:
     """
     base = _dec(10**HEX_LIMB, HEX_LIMB + 1)
     n_limbs, n_words = -(-DIGITS // HEX_LIMB), -(-64 // WORD)
-    digits = zero_filled(strip_hex(hex_text), n_words * WORD)
+    plain_hex = strip_hex(hex_text)
+    is_hex = F.translate(plain_hex, "0123456789abcdefABCDEF", "") == ""
+    digits = _checked(
+        plain_hex, (F.length(plain_hex) <= HEX_DIGITS) & is_hex, zero_filled(plain_hex, n_words * WORD)
+    )
     upper = (n_words - 2) * WORD
     large = F.col("_large")
 

@@ -30,14 +30,15 @@ EVENTS = tb.EventTable(
 FEED_SCHEMA = EVENTS.schema + (
     ", seq bigint, parent string, finalized_height bigint, is_head boolean"
 )
-HEAD_BLOCKS = 200
+# The first tenth of the heights comes as final blocks, the rest at the head with all its forks.
+FINAL_PART = 10
 FINALITY = 20
 
 
 def feed(spark: SparkSession, sf: str) -> DataFrame:
-    """The derived feed as a source delivers it: final blocks first, the last ones with forks."""
+    """The derived feed as a source delivers it: final blocks first, then most blocks with forks."""
     tip = d.tip(spark, sf)
-    head_from = F.call_function("div", tip - HEAD_BLOCKS, F.lit(d.PERIOD)) * d.PERIOD
+    head_from = F.call_function("div", tip, F.lit(FINAL_PART * d.PERIOD)) * d.PERIOD
     rows = d.fork_rows(spark, sf)
     return rows.select(
         *[F.col(c) for c in EVENTS.columns if c != "ts"],
@@ -97,7 +98,7 @@ def streamed_visible(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "moved_with_hooks",
     feed_sql(f"""
-, head AS (SELECT (h - {HEAD_BLOCKS}) // {d.PERIOD} * {d.PERIOD} AS f, h FROM tip)
+, head AS (SELECT h // {FINAL_PART * d.PERIOD} * {d.PERIOD} AS f, h FROM tip)
 SELECT event_type, count(*) AS n,
        CAST(sum(CASE WHEN height > f AND height <= h - {FINALITY} THEN cents * 2 ELSE cents END)
             AS BIGINT) AS cents

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,20 +158,27 @@ def create_tables(
         create_snapshot_table(spark, database, network, s)
 
 
+def _quoted(value: object) -> str:
+    """A value as an SQL text literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _spec(values: Mapping[str, object]) -> str:
+    return "PARTITION (" + ", ".join(f"{k}={_quoted(v)}" for k, v in values.items()) + ")"
+
+
 def partitions_of(spark: SparkSession, table: str, **fixed: object) -> list[dict[str, str]]:
-    """Partition values in the catalog, without reading data."""
-    spec = ", ".join(f"{k}='{v}'" for k, v in fixed.items())
-    rows = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({spec})" if spec else ""))
-    return [dict(part.split("=", 1) for part in r[0].split("/")) for r in rows.collect()]
+    """Partition values in the catalog, without reading data; the listing writes special characters
+    of values as % and two hex digits."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}" + (f" {_spec(fixed)}" if fixed else ""))
+    parts = [dict(part.split("=", 1) for part in r[0].split("/")) for r in rows.collect()]
+    return [{k: unquote(v) for k, v in p.items()} for p in parts]
 
 
 def drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, object]]) -> None:
-    """Drop whole partitions, by equality, in one statement."""
+    """Drop whole partitions, by equality, in one statement; each must be there."""
     if specs:
-        clauses = ", ".join(
-            "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in s.items()) + ")" for s in specs
-        )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+        spark.sql(f"ALTER TABLE {table} DROP " + ", ".join(map(_spec, specs)))
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:

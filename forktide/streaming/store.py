@@ -14,6 +14,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,7 +31,6 @@ from forktide.sources.tables import EPOCH, INGEST_SEQ, MONTH, MOVE, PROCESSOR, T
 Handler = Callable[[DataFrame], Mapping[str, DataFrame]]
 
 ERA = 256
-KEPT_VERSIONS = 32
 REGISTRY = "valid_blocks"
 OPS_LOG = "ops_log"
 MOVED, COMPACTED = "move", "compact"
@@ -61,6 +61,8 @@ class StoreOptions:
     hold_to_finality: bool = True
     log_operations: bool = True
     parallel_writes: int = 4
+    # Registry versions stay this long after a newer one came, for readers that began before.
+    keep_versions_ms: int = 3_600_000
     persist_catch_up: bool = False
 
     @property
@@ -117,6 +119,7 @@ class ForkStore:
         self._state = _State()
         self._cutoffs: dict[str, int] = {}
         self._ops: list[tuple] = []
+        self._outdated: dict[int, float] = {}
 
     # ---- names -------------------------------------------------------------------------------
 
@@ -243,12 +246,19 @@ class ForkStore:
         return self.spark.table(self._cold_status_name).filter(F.col("id") == self.processor)
 
     def cold_status(self) -> DataFrame:
-        """Newest committed cutoff of the processor (R12): id, height, hash."""
+        """Height up to which every table is in cold (R12): id, height, hash.
+
+        That is the lowest of the tables' newest commits; a table may lag behind after a failed move.
+        Tables without any commit, such as new ones, do not count.
+        """
         moves = self._commits().filter(F.col("kind") == MOVED)
-        whole = moves.filter(F.size("tables") == len(self.events)) if self.events else moves
-        return latest_by_key(
-            whole.select("id", "height", "hash", "epoch", "timestamp"), ["id"], ["height", "epoch", "timestamp"]
-        ).select("id", "height", "hash")
+        each = moves.select("id", "height", "hash", "epoch", "timestamp", F.explode("tables").alias("t"))
+        if self.events:
+            each = each.filter(F.col("t").isin(list(self.events)))
+        newest = latest_by_key(each, ["id", "t"], ["height", "epoch", "timestamp"])
+        return newest.groupBy("id").agg(
+            F.min("height").alias("height"), F.min_by("hash", F.struct("height", "t")).alias("hash")
+        )
 
     def _read_commits(self) -> tuple[dict[str, int], dict[tuple[str, str], int]]:
         """Committed cutoff per table (-1 before the first move), and compacted months."""
@@ -270,6 +280,9 @@ class ForkStore:
     def _lowest_cutoff(self) -> int:
         return min(self._cutoffs.values(), default=-1)
 
+    def _highest_cutoff(self) -> int:
+        return max(self._cutoffs.values(), default=-1)
+
     # ---- registry ------------------------------------------------------------------------------
 
     def registry(self, version: int | None = None) -> DataFrame:
@@ -277,9 +290,16 @@ class ForkStore:
         if version is None:
             version = self._read_state().registry_version
         self.spark.catalog.refreshTable(self._name(REGISTRY))
-        return self.spark.table(self._name(REGISTRY)).filter(
+        rows = self.spark.table(self._name(REGISTRY)).filter(
             (F.col(PROCESSOR) == self.processor) & (F.col("version") == version)
         ).select(PROCESSOR, "height", "hash", "timestamp")
+        # The files are named here: when the version was dropped meanwhile, reading them is an error,
+        # while a filter on the table would find an empty registry. A version has a file or none.
+        files = [unquote(f) for f in rows.inputFiles()]
+        if not files:
+            return rows.limit(0)
+        found = self.spark.read.schema(rows.select("height", "hash", "timestamp").schema).parquet(*files)
+        return found.select(F.lit(self.processor).alias(PROCESSOR), "height", "hash", "timestamp")
 
     def _publish_registry(self, rows: DataFrame, version: int) -> tuple[int, str] | None:
         """Write a whole new version, at most one block per height; returns its tip."""
@@ -295,14 +315,15 @@ class ForkStore:
         return None if not found or found["height"] is None else (found["height"], found["hash"])
 
     def _drop_registry_versions(self, below: int) -> None:
-        """Keeps some versions for readers that took their status row a while ago."""
-        below = min(below, self._state.epoch - KEPT_VERSIONS)
-        old = [
-            p
+        """Drops versions that have been outdated for ``keep_versions_ms``, as far as this process knows."""
+        now = time.monotonic()
+        parts = {
+            int(p["version"]): p
             for p in tb.partitions_of(self.spark, self._name(REGISTRY), processor_id=self.processor)
-            if int(p["version"]) < below
-        ]
-        tb.drop_partitions(self.spark, self._name(REGISTRY), old)
+        }
+        self._outdated = {v: self._outdated.get(v, now) for v in parts if v < below}
+        old = [v for v, since in self._outdated.items() if (now - since) * 1000 >= self.options.keep_versions_ms]
+        tb.drop_partitions(self.spark, self._name(REGISTRY), [parts[v] for v in old])
 
     def registry_bounds(self) -> DataFrame:
         """Highest, lowest and number of registered heights, and the finality threshold."""
@@ -319,9 +340,10 @@ class ForkStore:
     def valid_filter(self, rows: DataFrame, current_height: int, height: str = "height",
                      hash: str = "hash") -> DataFrame:
         """Rows at or below ``current_height - depth``, and registered ones above (P3 as it is)."""
-        cut = F.lit(current_height - self.options.depth)
+        cut = current_height - self.options.depth
+        above = self.registry().drop(PROCESSOR).filter(F.col("height") > cut)
         return visible.valid_rows(
-            rows, self.registry().drop(PROCESSOR), cut, height=height, hash=hash
+            rows, above, F.lit(cut), max_blocks=max(self._read_state().height - cut, 0), height=height, hash=hash
         )
 
     # ---- reading -------------------------------------------------------------------------------
@@ -472,7 +494,8 @@ class ForkStore:
                 handler(batch), epoch, to_cold, to_registry if advances else None
             )
             if advances:
-                self._commit_cold(top, top_hash, list(self.events), epoch)
+                behind = [n for n in self.events if self._cutoffs[n] < top]
+                self._commit_cold(top, top_hash, behind, epoch)
             final = top >= s.finalized_height
             self._log("blocks", ok=True, finalized=True, amount=head["n_blocks"], height=top)
             self._save(
@@ -529,10 +552,16 @@ class ForkStore:
                 return
             fork_height = head["low"]
             if head["base"] is not None:
-                fork_height = min(fork_height, head["base"] + 1)
-            if fork_height <= lowest:
+                # A step may name a base below the finalized height; what is final stays.
+                fork_height = min(fork_height, max(head["base"], s.finalized_height) + 1)
+            # A table that moved further holds known blocks up to its own cutoff in cold; blocks that
+            # come again after a clear replace none and are only new for the tables that lag.
+            fixed = self._highest_cutoff() if s.height >= fork_height else lowest
+            if fork_height <= fixed:
+                raise FinalityError(f"fork at {fork_height} reaches below the committed cutoff {fixed}")
+            if fork_height <= s.finalized_height and s.height >= fork_height:
                 raise FinalityError(
-                    f"fork at {fork_height} reaches below the committed cutoff {lowest}"
+                    f"fork at {fork_height} reaches below the finalized height {s.finalized_height}"
                 )
             tip = s.height if s.height > lowest else None
             if chain.fork_detected(tip, fork_height):
@@ -541,10 +570,11 @@ class ForkStore:
                 self._log("fork_executed", ok=True, height=fork_height - 1, amount=lost)
             elif tip is not None and fork_height > tip + 1:
                 self._log("gap", ok=True, height=fork_height, amount=fork_height - tip - 1)
+            elif tip is not None and head["low_parent"] not in (None, s.hash):
+                self._log("parent_mismatch", ok=False, height=fork_height)
             new = F.col("height") >= head["low"]
             winners = chain.canonical_chain(
-                delivered.filter(new).withColumn(PROCESSOR, F.lit(self.processor)),
-                max_heights=head["top"] - head["low"] + 1,
+                delivered.filter(new).withColumn(PROCESSOR, F.lit(self.processor))
             ).withColumn("timestamp", F.current_timestamp())
             after = chain.prune_below(
                 chain.after_fork(registry, F.lit(fork_height), winners), F.lit(lowest)
@@ -620,6 +650,7 @@ class ForkStore:
             F.max("height").alias("top"),
             F.max_by("hash", "height").alias("top_hash"),
             F.max_by("parent", "seq").alias("parent"),
+            F.min_by("parent", F.when(new, F.struct("height", "seq"))).alias("low_parent"),
             F.min(F.when(new, F.col("base"))).alias("base"),
             F.max("finalized").alias("finalized"),
             F.max_by("finalized_hash", "finalized").alias("finalized_hash"),
@@ -658,7 +689,8 @@ class ForkStore:
     @staticmethod
     def _use_adaptive(batch: DataFrame) -> None:
         """Streams switch adaptive execution off for their session; batch writes want it on."""
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        if batch.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+            batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
 
     def _prepared(self, t: tb.EventTable, rows: DataFrame, epoch: int) -> DataFrame:
         """Normalised rows with their write order and processor."""
@@ -714,7 +746,7 @@ class ForkStore:
         }
         self._append_row(row, self._cold_status_name)
         if month is None:
-            self._cutoffs.update({n: height for n in names})
+            self._cutoffs.update({n: max(height, self._cutoffs.get(n, -1)) for n in names})
 
     def _save(self, new: _State, parent: str | None) -> None:
         """Append the status row (R11): the commit point of the epoch.
@@ -798,7 +830,8 @@ class ForkStore:
         result = run(self)
         if hooks.after_migration is not None:
             hooks.after_migration(result)
-        self._state = replace(self._state, blocks_since=0)
+        if not result.failed:  # else the next batch tries again
+            self._state = replace(self._state, blocks_since=0)
         return result
 
     def hot_rows(self) -> int:

@@ -37,7 +37,7 @@ def test_canonical_chain_equals_a_stack(spark, seed, width):
 def test_canonical_chain_of_few_heights(spark):
     feed = random_deliveries(random.Random(9), 300, 0.2)
     df = blocks(spark, [(h, x) for _, h, x in feed])
-    assert pairs(chain.canonical_chain(df, max_heights=300)) == stack_chain(feed)
+    assert pairs(chain.canonical_chain(df)) == stack_chain(feed)
 
 
 def test_fork_replaces_the_upper_part(spark):

@@ -99,3 +99,23 @@ def test_u256_round_trips_and_sums(spark):
 def test_u256_sum_of_no_rows_is_null(spark):
     empty = spark.createDataFrame([], "v string")
     assert empty.agg(u256.sum_u256(F.col("v")).alias("t")).first()["t"] is None
+
+
+@pytest.mark.parametrize("bad", ["1" * 79, str(2**256), "-1", "1.5", "x", ""])
+def test_padding_refuses_what_is_no_unsigned_256_bit_integer(spark, bad):
+    df = spark.createDataFrame([(bad,)], "v string")
+    with pytest.raises(Exception, match="256-bit"):
+        df.select(u256.pad(F.col("v"))).collect()
+
+
+@pytest.mark.parametrize("bad", ["0x" + "f" * 65, "0xzz", "0x" + "0" * 128])
+def test_hex_refuses_what_is_no_unsigned_256_bit_integer(spark, bad):
+    df = spark.createDataFrame([(bad,)], "h string")
+    with pytest.raises(Exception, match="256-bit"):
+        u256.with_u256(df, "v", F.col("h")).collect()
+
+
+def test_largest_value_and_null_pass(spark):
+    df = spark.createDataFrame([(str(2**256 - 1), "0x" + "f" * 64), (None, None)], "v string, h string")
+    rows = u256.with_u256(df, "w", F.col("h")).select(u256.pad(F.col("v")).alias("v"), "w").collect()
+    assert [tuple(r) for r in rows] == [(str(2**256 - 1),) * 2, (None, None)]

@@ -553,6 +553,118 @@ def test_transfers_from_logs_to_totals(spark):
     ]
 
 
+def test_reader_of_an_old_registry_version(spark):
+    store = new_store(spark, keep_versions_ms=0)
+    store.apply_hot(batch(spark, blocks(1, 5)), to_events, "s", 0)
+    held = store.visible("test_events")
+    for n in range(1, 4):
+        store.apply_hot(batch(spark, blocks(5 + n, 5 + n, seq=10 * n)), to_events, "s", n)
+    with pytest.raises(Exception, match="(?i)no such file|does not exist|not_exist|not found"):
+        held.collect()
+    assert seen(store) == expected(chain_of(1, 8))
+    patient = new_store(spark)
+    patient.apply_hot(batch(spark, blocks(1, 5)), to_events, "s", 0)
+    held = patient.visible("test_events")
+    for n in range(1, 6):
+        patient.apply_hot(batch(spark, blocks(5 + n, 5 + n, seq=10 * n)), to_events, "s", n)
+    assert sorted(r["height"] for r in held.collect()) == sorted([*range(1, 6)] * 2)
+
+
+# ---- tables that move unevenly -----------------------------------------------------------------------
+
+
+def uneven(spark, **options):
+    """Two tables at cutoffs 100 and 50: the second one's later move failed."""
+    failing = []
+
+    def transform(rows, context):
+        if context.table in failing:
+            raise RuntimeError("cannot move")
+        return rows
+
+    store = new_store(
+        spark, events=(EVENTS, SECOND), hold_to_finality=False,
+        hooks=MigrationHooks(transform_rows=transform), **options,
+    )
+    store.apply_hot(batch(spark, blocks(1, 120)), to_both, "s", 0)
+    store.migrate(50)
+    failing.append("others")
+    result = store.migrate(100)
+    failing.clear()
+    assert [name for name, _ in result.failed] == ["others"]
+    assert store._cutoffs == {"test_events": 100, "others": 50}
+    return store
+
+
+def to_both(df):
+    return {"test_events": df, "others": df}
+
+
+def test_uneven_cutoffs_lose_nothing_after_a_clear(spark):
+    store = uneven(spark)
+    assert store.cold_status().first()["height"] == 50
+    for table in ("test_events", "others"):
+        assert seen(store, table) == expected(chain_of(1, 120))
+    store.clear_hot(50, "a50")
+    store.apply_final(batch(spark, blocks(51, 80, seq=200)), to_both, "s", 1)
+    assert store._cutoffs == {"test_events": 100, "others": 80}
+    store.apply_final(batch(spark, blocks(81, 120, seq=300)), to_both, "s", 2)
+    for table in ("test_events", "others"):
+        assert seen(store, table) == expected(chain_of(1, 120))
+    assert again(spark, store)._cutoffs == {"test_events": 120, "others": 120}
+
+
+def test_fork_between_the_cutoffs_is_refused(spark):
+    store = uneven(spark)
+    with pytest.raises(FinalityError):
+        store.apply_hot(batch(spark, blocks(70, 121, "b", 200)), to_both, "s", 1)
+    for table in ("test_events", "others"):
+        assert seen(store, table) == expected(chain_of(1, 120))
+
+
+def test_blocks_delivered_again_after_a_clear_serve_the_table_that_lags(spark):
+    store = uneven(spark)
+    store.clear_hot(50, "a50")
+    store.apply_hot(batch(spark, blocks(51, 90, seq=200)), to_both, "s", 1)
+    store.apply_hot(batch(spark, blocks(91, 125, seq=300)), to_both, "s", 2)
+    for table in ("test_events", "others"):
+        assert seen(store, table) == expected(chain_of(1, 125))
+
+
+def test_a_lagging_table_catches_up_alone(spark):
+    store = uneven(spark)
+    assert store.migrate(100).failed == ()
+    assert store.cold_status().first()["height"] == 100
+    assert again(spark, store).recovered.top[-1] == (120, "a120")
+
+
+def test_fork_below_the_finalized_height(spark):
+    store = new_store(spark, log_operations=True)
+    store.apply_hot(batch(spark, blocks(1, 60), finalized=40), to_events, "s", 0)
+    with pytest.raises(FinalityError):
+        store.apply_hot(batch(spark, blocks(20, 61, "b", 100)), to_events, "s", 1)
+    # A base below the finalized height does not reach what is final.
+    store.apply_hot(batch(spark, blocks(55, 61, "b", 100), base=30), to_events, "s", 1)
+    assert seen(store) == expected(chain_of(1, 40) + chain_of(55, 61, "b"))
+    store.apply_hot(batch(spark, blocks(62, 62, "b", 200)), to_events, "s", 2)
+    ops = [r["op"] for r in store.operations().collect()]
+    assert "parent_mismatch" in ops, "the test feed names no real parents"
+
+
+@pytest.mark.parametrize("processor", ["eth:main", "it's 100% a/b=c"])
+def test_special_characters_in_processor_ids(spark, processor):
+    store = new_store(spark, processor_id=processor, hold_to_finality=False)
+    store.apply_hot(batch(spark, blocks(1, 20)), to_events, "s", 0)
+    assert store.migrate().cutoff_height == 15
+    store.apply_hot(batch(spark, blocks(21, 40, seq=50)), to_events, "s", 1)
+    assert store.migrate().cutoff_height == 35
+    assert seen(again(spark, store)) == expected(chain_of(1, 40))
+    assert store._hot_partitions()
+    store.clear_hot(35, "a35")
+    assert not store._hot_partitions()
+    assert seen(store) == expected(chain_of(1, 35))
+
+
 # ---- tables ----------------------------------------------------------------------------------------
 
 
@@ -561,7 +673,8 @@ def test_tables_are_created_once_with_their_properties(spark):
     snapshot = tb.SnapshotTable("test_snapshot", "id bigint, value string", ("id",))
     for _ in range(2):
         tb.create_tables(spark, database, "ethereum", [EVENTS], [snapshot])
-    names = {r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect()}
+    tables = spark.sql(f"SHOW TABLES IN {database}").filter("not isTemporary").collect()
+    names = {r["tableName"] for r in tables}
     assert names == {"ethereum_hot_test_events", "ethereum_cold_test_events", "ethereum_test_snapshot"}
     properties = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.ethereum_cold_test_events").collect()}
     assert (properties["zone"], properties["key"]) == ("cold", "height,id")
