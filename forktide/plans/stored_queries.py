@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from forktide.sources import rows as row_ops
 from forktide.sources import scratch
 from forktide.sources import tables as tb
 from forktide.streaming.runner import run_feed
-from forktide.streaming.store import ForkStore, StoreOptions
+from forktide.streaming.store import FinalityError, ForkStore, StoreOptions
 
 EVENTS = tb.EventTable(
     "events",
@@ -35,8 +36,11 @@ FINAL_PART = 10
 FINALITY = 20
 
 
-def feed(spark: SparkSession, sf: str) -> DataFrame:
-    """The derived feed as a source delivers it: final blocks first, then most blocks with forks."""
+def feed(spark: SparkSession, sf: str, forks: bool = True) -> DataFrame:
+    """The derived feed as a source delivers it: final blocks first, then most blocks with forks.
+
+    Without ``forks``, the blocks that survive only.
+    """
     tip = d.tip(spark, sf)
     head_from = F.call_function("div", tip, F.lit(FINAL_PART * d.PERIOD)) * d.PERIOD
     rows = d.fork_rows(spark, sf)
@@ -48,15 +52,19 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
         F.greatest(F.col("height") - FINALITY, head_from).alias("finalized_height"),
         (F.col("height") > head_from).alias("is_head"),
         "fork",
-    ).filter(F.col("is_head") | (F.col("fork") == 0)).drop("fork")
+    ).filter((F.col("is_head") & F.lit(forks)) | (F.col("fork") == 0)).drop("fork")
 
 
-def open_store(spark: SparkSession, purpose: str, **options) -> ForkStore:
-    folder, database = scratch.fresh(spark, purpose)
+def open_store(
+    spark: SparkSession, purpose: str, tables: Sequence[tb.EventTable] = (EVENTS,),
+    place: tuple[str, str] | None = None, **options,
+) -> ForkStore:
+    """A connected store in a new folder and database, or in the given ones."""
+    folder, database = place or scratch.fresh(spark, purpose)
     store = ForkStore(
         spark,
         database,
-        [EVENTS],
+        list(tables),
         options=StoreOptions(**{"hot_blocks_depth": 10, **options}),
         location=f"{folder}/tables",
     )
@@ -145,6 +153,114 @@ def zone_sizes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+OTHERS = replace(EVENTS, name="others")
+BOTH_SQL = feed_sql("""
+SELECT name, event_type, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM rows_ JOIN canon USING (height, hash), (VALUES ('events'), ('others')) AS t(name)
+GROUP BY name, event_type""")
+
+
+def as_both(batch: DataFrame) -> dict[str, DataFrame]:
+    return {"events": batch, "others": batch}
+
+
+def uneven_store(spark: SparkSession, sf: str, purpose: str) -> ForkStore:
+    """Two tables after the whole feed; the second one's last move failed, so it lags behind."""
+    failing = []
+
+    def transform(rows: DataFrame, context: migration.TransformContext) -> DataFrame:
+        if context.table in failing:
+            raise RuntimeError("planned failure")
+        return rows
+
+    store = open_store(
+        spark, purpose, tables=(EVENTS, OTHERS), auto_migrate=False, hold_to_finality=False,
+        hooks=migration.MigrationHooks(transform_rows=transform),
+    )
+    store.apply(feed(spark, sf), as_both, "feed", 0)
+    tip = store.head_height
+    store.migrate(tip // 2)
+    failing.append("others")
+    store.migrate(tip - FINALITY)
+    failing.clear()
+    return store
+
+
+def by_table(store: ForkStore) -> DataFrame:
+    parts = [by_type(store.visible(n)).select(F.lit(n).alias("name"), "*") for n in ("events", "others")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("uneven_move_visible", BOTH_SQL)
+def uneven_move_visible(spark: SparkSession, sf: str) -> DataFrame:
+    """One table fails to move, hot is cleared, and the feed comes again from what cold holds of all."""
+    store = uneven_store(spark, sf, "uneven")
+    cold = store.cold_status().first()
+    store.clear_hot(cold["height"], cold["hash"])
+    again = feed(spark, sf, forks=False).filter(F.col("height") > cold["height"])
+    half = cold["height"] + (cold["height"] // 2)
+    store.apply_final(again.filter(F.col("height") <= half), as_both, "again", 0)
+    store.apply_final(again.filter(F.col("height") > half), as_both, "again", 1)
+    return by_table(store)
+
+
+@query("fork_between_cutoffs", BOTH_SQL)
+def fork_between_cutoffs(spark: SparkSession, sf: str) -> DataFrame:
+    """A fork below what one table holds in cold is refused and changes neither table."""
+    store = uneven_store(spark, sf, "between")
+    low = store.cold_status().first()["height"] + 1
+    late = feed(spark, sf, forks=False).filter(F.col("height") >= low)
+    late = late.withColumn("hash", F.md5(F.concat(F.lit("late:"), F.col("height").cast("string"))))
+    late = late.withColumn("seq", F.col("seq") + F.lit(1 << 40)).drop("finalized_height", "is_head", "parent")
+    try:
+        store.apply_hot(late, as_both, "late", 0)
+    except FinalityError:
+        return by_table(store)
+    raise AssertionError("the fork was accepted")
+
+
+@query("live_fork_floor", CLEAN_SQL)
+def live_fork_floor(spark: SparkSession, sf: str) -> DataFrame:
+    """A fork below the finalized height is refused though nothing was moved yet."""
+    store = open_store(spark, "floor", auto_migrate=False)
+    store.apply(feed(spark, sf), as_events, "feed", 0)
+    low = store.head_height - 2 * FINALITY
+    late = feed(spark, sf, forks=False).filter(F.col("height") >= low)
+    late = late.withColumn("hash", F.md5(F.concat(F.lit("late:"), F.col("height").cast("string"))))
+    late = late.withColumn("seq", F.col("seq") + F.lit(1 << 40)).drop("finalized_height", "is_head", "parent")
+    try:
+        store.apply_hot(late, as_events, "late", 0)
+    except FinalityError:
+        return by_type(store.visible("events"))
+    raise AssertionError("the fork was accepted")
+
+
+@query(
+    "stored_processors",
+    feed_sql("""
+SELECT CASE WHEN height % 2 = 0 THEN 'eth:main' ELSE 'it''s 50%' END AS processor, event_type,
+       count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM rows_ JOIN canon USING (height, hash) GROUP BY ALL"""),
+)
+def stored_processors(spark: SparkSession, sf: str) -> DataFrame:
+    """Two processors in one set of tables, one of which is cleared and caught up again."""
+    folder, database = scratch.fresh(spark, "processors")
+    out = None
+    for parity, name in enumerate(("eth:main", "it's 50%")):
+        own = feed(spark, sf).filter(F.col("height") % 2 == parity)
+        store = open_store(spark, "processors", place=(folder, database), processor_id=name, auto_migrate=False)
+        store.apply(own, as_events, "feed", 0)
+        store.migrate()
+        if parity:
+            cold = store.cold_status().first()
+            store.clear_hot(cold["height"], cold["hash"])
+            rest = feed(spark, sf, forks=False).filter((F.col("height") % 2 == parity) & (F.col("height") > cold["height"]))
+            store.apply_final(rest, as_events, "again", 0)
+        part = by_type(store.visible("events")).select(F.lit(name).alias("processor"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(
     "flushed_tables",
     "SELECT event_type AS entity, count(*) AS n FROM events GROUP BY event_type",

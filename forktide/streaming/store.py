@@ -127,6 +127,11 @@ class ForkStore:
     def processor(self) -> str:
         return self.options.processor_id
 
+    @property
+    def head_height(self) -> int:
+        """Height of the last block applied; -1 before the first."""
+        return self._state.height
+
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
