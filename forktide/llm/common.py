@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,8 +38,11 @@ def crc_mod(key: str, n: int) -> Column:
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{scratch.shared_folder(spark)}/{purpose}_{uuid.uuid4().hex[:12]}"
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``scratch.release`` removes the folders once their results are no longer needed.
+    """
+    path, _ = scratch.fresh(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
