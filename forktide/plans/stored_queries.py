@@ -261,6 +261,60 @@ def stored_processors(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+@query(
+    "hooked_moves",
+    feed_sql(f"""
+, head AS (SELECT h // {FINAL_PART * d.PERIOD} * {d.PERIOD} AS f, h, h - {2 * FINALITY} AS cutoff FROM tip)
+SELECT cutoff, 2 AS asked, count(*) AS cold, CAST(sum(CASE WHEN height > f THEN 1 ELSE 0 END) AS BIGINT) AS moved
+FROM rows_ JOIN canon USING (height, hash), head WHERE height <= cutoff GROUP BY cutoff"""),
+)
+def hooked_moves(spark: SparkSession, sf: str) -> DataFrame:
+    """The before-hook cancels the first move, a custom move replaces the second, the after-hook sees it."""
+    asked, results = [], []
+
+    def before(context: migration.MigrationContext) -> bool:
+        asked.append(context)
+        return len(asked) > 1
+
+    store = open_store(
+        spark,
+        "hooked",
+        auto_migrate=False,
+        hooks=migration.MigrationHooks(
+            before_migration=before,
+            custom_migration=lambda s: s.migrate(s.head_height - 2 * FINALITY),
+            after_migration=results.append,
+        ),
+    )
+    store.apply(feed(spark, sf), as_events, "feed", 0)
+    if store.perform_migration() is not None:
+        raise AssertionError("the first move was not cancelled")
+    store.perform_migration()
+    cutoff = results[0].cutoff_height
+    cold = store.visible("events", height_to=cutoff).agg(F.count(F.lit(1)).alias("cold"))
+    return cold.select(
+        F.lit(cutoff).cast("bigint").alias("cutoff"),
+        F.lit(len(asked)).alias("asked"),
+        "cold",
+        F.lit(results[0].migrated).cast("bigint").alias("moved"),
+    )
+
+
+@query("compacted_cold", CLEAN_SQL)
+def compacted_cold(spark: SparkSession, sf: str) -> DataFrame:
+    """Several moves, every month of cold merged into one part, then another move."""
+    store = open_store(spark, "compacted", auto_migrate=False, hold_to_finality=False)
+    store.apply(feed(spark, sf), as_events, "feed", 0)
+    tip = store.head_height
+    store.migrate(tip // 3)
+    store.migrate(tip // 2)
+    months = {p[tb.MONTH] for p in tb.partitions_of(spark, store.cold_name("events"))}
+    for month in sorted(months):
+        store.compact_cold("events", month)
+    store.migrate(tip - FINALITY)
+    return by_type(store.visible("events"))
+
+
 @query(
     "flushed_tables",
     "SELECT event_type AS entity, count(*) AS n FROM events GROUP BY event_type",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.functions import clock, names, u256
+from forktide.functions import clock, names, text, u256
 from forktide.operators import analytics, contracts
 from forktide.plans import derived as d
 from forktide.plans.derived import FEED_SQL, feed_sql
@@ -277,3 +277,23 @@ def contract_check(spark: SparkSession, sf: str) -> DataFrame:
         "wrong_length",
         "duplicate_rows",
     )
+
+
+@query(
+    "numbers_from_text",
+    """
+SELECT event_type, CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total,
+       count(*) - count(TRY_CAST(json_extract_string(props, '$.k') || CASE WHEN event_id % 3 = 0 THEN 'x' ELSE '' END
+                        AS BIGINT)) AS refused
+FROM events GROUP BY event_type""",
+)
+def numbers_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Numeric text as numbers; other text is NULL."""
+    k = F.get_json_object("props", "$.k")
+    spoilt = F.concat(k, F.when(F.col("event_id") % 3 == 0, "x").otherwise(""))
+    return (
+        d.table(spark, sf, "events")
+        .select("event_type", text.to_long(k).alias("k"), text.to_long(spoilt).alias("s"))
+        .groupBy("event_type")
+        .agg(F.sum("k").alias("total"), (F.count(F.lit(1)) - F.count("s")).alias("refused"))
+    )

@@ -119,3 +119,18 @@ def test_largest_value_and_null_pass(spark):
     df = spark.createDataFrame([(str(2**256 - 1), "0x" + "f" * 64), (None, None)], "v string, h string")
     rows = u256.with_u256(df, "w", F.col("h")).select(u256.pad(F.col("v")).alias("v"), "w").collect()
     assert [tuple(r) for r in rows] == [(str(2**256 - 1),) * 2, (None, None)]
+
+
+def test_scratch_is_released(spark):
+    import os
+
+    from forktide.sources import scratch
+
+    folder, database = scratch.fresh(spark, "released")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    spark.range(3).write.saveAsTable(f"{database}.t")
+    spark.range(3).write.parquet(f"{folder}/rows")
+    assert scratch.release(spark) >= 1
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert not spark.catalog.databaseExists(database)
+    assert scratch.release(spark) == 0
