@@ -69,10 +69,10 @@ def rolling_means(
     samples: int = SAMPLES,
     width: int = ranges.WIDTH,
 ) -> DataFrame:
-    """The mean as it stood after each successful operation."""
+    """The mean as it stood after each successful operation (W4); the log counts in microseconds."""
     done = log.filter("ok")
     summed = ranges.trailing_sums(
-        done, keys, "seq", "duration_ms", samples, "window_sum", "window_n", width
+        done, keys, "seq", "duration_ms", samples, "window_sum", "window_n", width, sparse=True
     )
     return summed.withColumn("mean_ms", F.col("window_sum") / F.col("window_n"))
 

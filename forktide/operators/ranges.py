@@ -3,7 +3,8 @@
 A window over ``partitionBy(processor)`` would put a whole feed into one task. Here rows are cut
 into ranges of their (integer, unique per key) order column: at most ``width`` rows of a key share
 a range, a window runs inside each range, and a second window runs over one row per range. A key
-with 10^12 rows has 10^12 / width range rows.
+with 10^12 rows has 10^12 / width range rows, if its order column is dense; ``sparse`` fits the ranges
+to the rows of a key instead.
 """
 
 from __future__ import annotations
@@ -24,6 +25,23 @@ def _ranged(df: DataFrame, order: str, width: int) -> DataFrame:
     return df.withColumn("_range", range_of(order, width))
 
 
+def _spaced(df: DataFrame, keys: Sequence[str], order: str, width: int) -> DataFrame:
+    """Ranges of some ``width`` rows for an order with large gaps, such as microseconds.
+
+    Each key's span is cut into as many equal parts as it has ``width`` rows; the extra aggregate is
+    one row per key.
+    """
+    spans = df.groupBy(*keys).agg(
+        F.min(order).alias("_low"),
+        F.greatest(
+            F.ceil((F.max(order) - F.min(order) + 1) * (F.lit(float(width)) / F.count(F.lit(1)))), F.lit(1)
+        ).cast("bigint").alias("_step"),
+    )
+    placed = df.join(spans, list(keys))
+    part = F.call_function("div", F.col(order) - F.col("_low"), F.col("_step"))
+    return placed.withColumn("_range", part).drop("_low", "_step")
+
+
 def running_max_before(
     df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, width: int = WIDTH
 ) -> DataFrame:
@@ -74,11 +92,11 @@ def previous_value(
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, width: int = WIDTH
+    df: DataFrame, keys: Sequence[str], order: str, out: str, width: int = WIDTH, sparse: bool = False
 ) -> DataFrame:
-    """Adds 1, 2, 3, ... per key in ``order``."""
+    """Adds 1, 2, 3, ... per key in ``order``; ``sparse`` orders have gaps wider than a few numbers."""
     keys = list(keys)
-    rows = _ranged(df, order, width)
+    rows = _spaced(df, keys, order, width) if sparse else _ranged(df, order, width)
     inside = Window.partitionBy(*keys, "_range").orderBy(order)
     between = Window.partitionBy(*keys).orderBy("_range")
     offsets = (
@@ -109,6 +127,7 @@ def trailing_sums(
     sum_out: str,
     count_out: str,
     width: int = WIDTH,
+    sparse: bool = False,
 ) -> DataFrame:
     """Adds sum and count of ``value`` over the last ``size`` rows of the key, this one included.
 
@@ -118,7 +137,7 @@ def trailing_sums(
     if size > width:
         raise ValueError("size must not exceed width")
     keys = list(keys)
-    numbered = row_numbers(df, keys, order, "_n", width)
+    numbered = row_numbers(df, keys, order, "_n", width, sparse)
     slot = F.call_function("div", F.col("_n") - 1, F.lit(width))
     spill = F.pmod(F.col("_n") - 1, F.lit(width)) >= width - (size - 1)
     sliced = numbered.withColumn("_home", slot).withColumn(

@@ -274,6 +274,20 @@ def rolling_mean_100(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "rolling_mean_sparse",
+    f"""WITH {OPS_SQL.strip()}, t AS (
+SELECT processor_id, op, seq * 1000003 + seq * seq % 1000 AS seq, ms FROM o WHERE ok)
+SELECT processor_id, op, seq, CAST(sum(ms) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_n FROM t
+WINDOW w AS (PARTITION BY processor_id, op ORDER BY seq ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
+)
+def rolling_mean_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a log numbered by microseconds, in ranges of few rows."""
+    seq = F.col("seq") * 1_000_003 + F.col("seq") * F.col("seq") % 1_000
+    log = operations(spark, sf).withColumn("seq", seq.cast("bigint"))
+    return oplog.rolling_means(log, width=256).select("processor_id", "op", "seq", "window_sum", "window_n")
+
+
 def _long_sql() -> str:
     parts = [
         f"SELECT processor_id, '{name}' AS name, '{kind}' AS type, "

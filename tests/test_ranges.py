@@ -78,3 +78,12 @@ def test_trailing_sums(spark, rows, width, size):
 def test_trailing_sums_needs_wide_slices(spark, rows):
     with pytest.raises(ValueError):
         ranges.trailing_sums(frame(spark, rows), ["k"], "o", "v", 100, "s", "n", 50)
+
+
+def test_sparse_orders_have_few_ranges(spark):
+    rows = [(k, o * 1_000_003 + o % 7, o) for k in ("a", "b") for o in range(400 if k == "a" else 3)]
+    df = frame(spark, rows)
+    got = {(r["k"], r["o"]): r["n"] for r in ranges.row_numbers(df, ["k"], "o", "n", 50, sparse=True).collect()}
+    assert got == {(k, o): i + 1 for k, o, i in rows}
+    spaced = ranges._spaced(df, ["k"], "o", 50).groupBy("k", "_range").count().collect()
+    assert len(spaced) <= 400 // 50 + 2 and max(r["count"] for r in spaced) <= 60
