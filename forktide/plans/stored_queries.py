@@ -315,6 +315,25 @@ def compacted_cold(spark: SparkSession, sf: str) -> DataFrame:
     return by_type(store.visible("events"))
 
 
+REMOVED_SQL = "event_type = 'error' AND user_id % 2 = 0"
+
+
+@query(
+    "removed_from_zones",
+    feed_sql(f"""
+SELECT event_type, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM rows_ JOIN canon USING (height, hash) WHERE NOT ({REMOVED_SQL}) GROUP BY event_type"""),
+)
+def removed_from_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows removed from hot and cold are gone for readers, also after the next move."""
+    store = open_store(spark, "removed", auto_migrate=False, hold_to_finality=False)
+    store.apply(feed(spark, sf), as_events, "feed", 0)
+    store.migrate(store.head_height // 2)
+    store.remove("events", F.expr(REMOVED_SQL))
+    store.migrate()
+    return by_type(store.visible("events"))
+
+
 @query(
     "flushed_tables",
     "SELECT event_type AS entity, count(*) AS n FROM events GROUP BY event_type",

@@ -873,7 +873,10 @@ class ForkStore:
                 self._log("migrate", ok=False, table=t.name, height=cutoff)
         if moves:
             previous = self._lowest_cutoff()
-            self._commit_cold(cutoff, self.hash_for_height(cutoff) or "", [m.name for m in moves], s.epoch)
+            known = self.hash_for_height(cutoff)
+            if known is None:  # no block at this height was delivered or kept
+                self._log("unknown_hash", ok=False, height=cutoff)
+            self._commit_cold(cutoff, known or "", [m.name for m in moves], s.epoch)
             self._reclaim(previous)
         for m in moves:
             self._log("migrate", ok=True, table=m.name, height=cutoff, rows_in=m.rows_in, rows_out=m.rows_out)
@@ -1016,6 +1019,25 @@ class ForkStore:
         self._save(new, None)
         self._drop_registry_versions(new.registry_version)
 
+    # ---- removal -------------------------------------------------------------------------------
+
+    def remove(self, table: str, condition: Column) -> int:
+        """Remove this processor's matching rows from both zones, or from a snapshot (D-1, D-2).
+
+        Only partitions with a matching row are rewritten or dropped. Each zone is one rewrite; when
+        stopped in between, calling it again finishes the work. Readers see the removal at once.
+        Returns how many stored rows went, orphans included.
+        """
+        if table in self.snapshots:
+            name = self._name(self.snapshots[table].table(self.options.network))
+            n = tb.delete_where(self.spark, name, condition)
+        else:
+            own = condition & (F.col(PROCESSOR) == self.processor)
+            n = sum(tb.delete_where(self.spark, name, own) for name in (self.hot_name(table), self.cold_name(table)))
+        self._log("remove", ok=True, table=table, amount=n)
+        self._flush_log()
+        return n
+
     # ---- operations log --------------------------------------------------------------------------
 
     def _log(
