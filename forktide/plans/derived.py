@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forktide.operators import chain
+
 DEPTH = 50
 PERIOD = 13
 FORK_FROM = 11
@@ -71,15 +73,9 @@ def tip(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def canonical_blocks(spark: SparkSession, sf_dir: str, lowest: Column | None = None) -> DataFrame:
-    """Canonical (height, hash) pairs, from ``lowest`` on; the cut is on event_id for the scan."""
-    rows = table(spark, sf_dir, "events").select("event_id")
-    if lowest is not None:
-        rows = rows.filter(F.col("event_id") >= lowest * 10)
-    return (
-        rows.groupBy(height_of().alias("height"))
-        .agg(F.lit("default").alias("processor_id"))
-        .withColumn("hash", block_hash(F.col("height")))
-    )
+    """Blocks that survive the feed, found by the chain operator; from ``lowest`` on."""
+    survivors = chain.canonical_chain(deliveries(spark, sf_dir)).select("processor_id", "height", "hash")
+    return survivors if lowest is None else survivors.filter(F.col("height") >= lowest)
 
 
 FEED_SQL = f"""
