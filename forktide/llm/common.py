@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,3 +69,16 @@ def texts_of(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterato
     """Arrow batches with their texts, NULL as the empty text."""
     for batch in batches:
         yield batch, [t or "" for t in batch.column(column).to_pylist()]
+
+
+@lru_cache(maxsize=1)
+def _trimmer():
+    library = ctypes.CDLL(None)
+    return library.malloc_trim if hasattr(library, "malloc_trim") else None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are reused, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    if _trimmer() is not None:
+        _trimmer()(0)

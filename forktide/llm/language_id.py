@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forktide.llm.common import bounded_sample
+from forktide.llm.common import bounded_sample, give_back
 
 SYMBOLS = 64
 ORDER = 3
@@ -37,7 +37,8 @@ DOCUMENTS_PER_LANGUAGE = 600
 MAX_CHARS = 50_000
 # Beyond this many bytes, evidence counts as if the text had this many: the score stays below 1.
 EVIDENCE_BYTES = 24
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+GROUP_TEXTS = 500
 # A text is accepted from this score on; with EVIDENCE_BYTES even short plain sentences reach it.
 LEAST_SCORE = 0.3
 
@@ -71,9 +72,9 @@ def _symbols(texts: list[bytes], symbol: np.ndarray) -> tuple[np.ndarray, np.nda
     """Symbols of all texts, each after ORDER blanks; the first position and the length of each."""
     lengths = np.array([len(t) for t in texts], np.int64)
     pad = b" " * ORDER
-    s = symbol[np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)]
+    s = symbol.astype(np.uint8)[np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)]
     starts = np.concatenate([[0], np.cumsum(lengths + ORDER)[:-1]]) + ORDER
-    return s.astype(np.int32), starts, lengths
+    return s, starts, lengths
 
 
 def learn(sample: list[tuple[str, bytes]]) -> ContextTrees:
@@ -133,7 +134,7 @@ def code_lengths(texts: list[bytes], trees: ContextTrees) -> np.ndarray:
     owner_start = 0
     for begin in range(ORDER, len(s), SLICE_BYTES):
         end = min(len(s), begin + SLICE_BYTES)
-        w = s[begin - ORDER : end]
+        w = s[begin - ORDER : end].astype(np.int32)
         tail = (w[1:-2] << 6) | w[2:-1]
         context = (w[:-3] << 12) | tail
         first = trees.deep[context]
@@ -177,7 +178,12 @@ def learn_from(
 
 
 def _predicted(texts: list[str | None], trees: ContextTrees) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the language (one past the last: unknown) and score of each text."""
+    """Number of the language (one past the last: unknown) and score of each text; a few texts at a time."""
+    parts = [_predicted_few(texts[i : i + GROUP_TEXTS], trees) for i in range(0, max(1, len(texts)), GROUP_TEXTS)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _predicted_few(texts: list[str | None], trees: ContextTrees) -> tuple[np.ndarray, np.ndarray]:
     data = [t.encode() if t else b"" for t in texts]
     bits = code_lengths(data, trees)
     lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts], bool)
@@ -195,6 +201,7 @@ def accepted(docs: DataFrame, trees: ContextTrees | None, text: str = "text", le
         for batch in batches:
             best, score = _predicted(batch.column(text).to_pylist(), shared.value)
             yield batch.filter(pa.array((best < len(shared.value.languages)) & (score >= least)))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -215,6 +222,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", te
                 [*batch.columns, names.take(pa.array(best)), pa.array(score)],
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
+            give_back()
 
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forktide.llm.common import stored
+from forktide.llm.common import give_back, stored
 from forktide.llm.components import components
 from forktide.llm.fingerprints import with_shingle_hashes
 
@@ -46,7 +46,7 @@ BLOCK = 1_024
 # Signatures may underestimate by this much; with 100 hashes it is five standard deviations.
 MARGIN = 0.2
 BROADCAST_ROWS = 500_000
-VOCABULARY_SLICE = 8_192
+VOCABULARY_SLICE = 2_048
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -88,6 +88,7 @@ def features(docs: DataFrame, key: str, text: str, bands: int, rows: int) -> Dat
                     mix = (mix ^ turned[:, r]) * np.uint64(0xFF51AFD7ED558CCD)
                     mix ^= mix >> np.uint64(33)
                 bucket.append(mix.view(np.int64))
+            del sets, values
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_key"),
@@ -99,6 +100,7 @@ def features(docs: DataFrame, key: str, text: str, bands: int, rows: int) -> Dat
                 ],
                 names=["_key", "_row", "node", "size", "signature", "buckets"],
             )
+            give_back()
 
     plain = docs.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(text).alias("_row")
