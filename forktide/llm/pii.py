@@ -3,11 +3,14 @@
 Base spans are exact: the leftmost non-overlapping matches of a fixed pattern per kind, less those
 that fail the kind's check (parts of an address, digits and Luhn sum of a card, digits of a phone).
 Beside them, generous patterns propose candidates, which may overlap base spans and each other's.
-Candidates get format features (digits, separators, signs) and context features (the characters
-around, a telling word before). Boosted trees learn, from all candidates of the corpus, how likely
-a candidate of such features passes the kind's check; the threshold of each kind is the lowest at
-which candidates of a held-out part of the corpus pass with ``PRECISION``. Candidates above it are
-added, though they fail the check by a detail, unless they overlap a base span.
+A candidate is likely if its value, with obfuscations undone, is plausible for the kind (octets, Luhn
+sum, digits, top-level domain) and it is either written in the full base form or told by a word of the
+kind just before. So a phone without ``+`` or a ``name (at) host (dot) com`` can be likely, and a card
+of a wrong Luhn sum cannot. Boosted trees learn this from all candidates of the corpus by format
+(digits, separators) and context (characters around, telling word); whether a candidate has the base
+form is masked. The threshold of each kind is the lowest at which candidates of a held-out part of the
+corpus are likely with ``PRECISION``, all together and those that are no base span by themselves.
+Candidates above it are added unless they overlap a base span.
 
 Only DataFrame functions are used, the regular expressions among them; each is linear in the text
 and without recursion. Candidates are counted by feature cell, and only the table of cells reaches
@@ -57,19 +60,26 @@ QUICK = {
 }
 WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}"
-    r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){1,8}",
+    r"(?:(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}){1,8}",
     "ip": r"(?<![0-9])[0-9]{1,4}(?:[.,]\x20?[0-9]{1,4}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9])(?:\+|00)?\x20?[0-9]{0,3}[\x20.-]?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9])(?:(?:\+|00)\x20?[0-9]{1,3}[\x20.-]?|[0-9]{1,3}[\x20.-]?)?"
+    r"\(?[0-9]{3}(?:\)[\x20.-]?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 WIDE_QUICK = {
     "email": r"@|\(at\)|\[at\]",
     "ip": r"[0-9][.,]\x20?[0-9]",
     "card": r"[0-9][0-9\x20.-]{11}[0-9]",
-    "phone": r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
+    "phone": r"[0-9]{3}(?:\)[\x20.-]?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}",
 }
-TELLING = r"(?i)(mail|contact|phone|tel|call|fax|mobil|card|visa|credit|account|host|server|address|ip)[^\n]{0,12}$"
-FEATURES = ("kind", "digits", "others", "plus", "paren", "before", "after", "telling", "lead")
+# Words that announce a value of the kind, at most 12 characters before it.
+TELLING = {
+    "email": r"e-?mails?|mailto|mail|contact|write|reach|address|correo|courriel|adresse",
+    "ip": r"ip|ipv4|host|hostname|server|address|dns|gateway|adresse|serveur|servidor",
+    "card": r"card|visa|mastercard|amex|credit|debit|payment|karte|kreditkarte|carte|tarjeta",
+    "phone": r"phone|telephone|tel|call|fax|mobile|cell|contact|dial|telefon|mobil|anruf|tél|teléfono",
+}
+FEATURES = ("kind", "digits", "others", "plausible", "paren", "before", "after", "telling", "lead")
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -145,6 +155,20 @@ def _passes(kind: str, match: Column) -> Column:
     return F.length(digits).between(8, 15)
 
 
+def _plausible(kind: str, match: Column) -> Column:
+    """Whether a candidate's value is one of the kind, however it is written."""
+    digits = _digits(match)
+    if kind == "email":
+        plain = F.regexp_replace(match, r"\x20?(?:@|\(at\)|\[at\])\x20?", "@")
+        plain = F.regexp_replace(plain, r"\x20?(?:\.|\(dot\)|\[dot\])\x20?", ".")
+        return plain.rlike(r"^[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z]{2,}$")
+    if kind == "ip":
+        return F.forall(F.split(match, r"[.,]\x20?"), lambda p: p.cast("int") <= 255)
+    if kind == "card":
+        return F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(F.lit(False))
+    return F.length(digits).between(8, 15) & ~digits.rlike(r"^([0-9])\1*$")
+
+
 _SPAN = "array<struct<kind:int,start:int,end:int>>"
 
 
@@ -162,11 +186,11 @@ def _class(c: Column) -> Column:
     )
 
 
-_CANDIDATE = "array<struct<kind:int,start:int,end:int,passes:boolean,x:array<int>>>"
+_CANDIDATE = "array<struct<kind:int,start:int,end:int,passes:boolean,likely:boolean,x:array<int>>>"
 
 
 def candidates(text: Column, kind: str) -> Column:
-    """Proposed spans of one kind with their features and whether they pass the kind's check."""
+    """Proposed spans of one kind: features, whether they pass the kind's check, whether they are likely."""
     number = KINDS.index(kind)
 
     def described(s: Column) -> Column:
@@ -174,22 +198,28 @@ def candidates(text: Column, kind: str) -> Column:
         digits = F.length(_digits(match))
         before = F.when(start == 0, "").otherwise(F.substring(text, start, F.lit(1)))
         context = F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
-        x = F.array(
-            F.lit(number),
-            F.least(digits, F.lit(20)),
-            F.least(F.length(match) - digits, F.lit(12)),
-            match.startswith("+").cast("int"),
-            F.contains(match, F.lit("(")).cast("int"),
-            _class(before),
-            _class(F.substring(text, end + 1, F.lit(1))),
-            context.rlike(TELLING).cast("int"),
-            F.when(match.rlike("^[0-9]"), F.substring(match, 1, 1).cast("int")).otherwise(10),
-        )
+        told = context.rlike(rf"(?iU)(?<!\w)(?:{TELLING[kind]})(?!\w)[^\n]{{0,12}}$")
         exact = match.rlike(f"^(?:{BASE[kind]})$")
-        return F.struct(
-            F.lit(number).alias("kind"), start.alias("start"), end.alias("end"),
-            (exact & _passes(kind, match)).alias("passes"), x.alias("x"),
-        )
+
+        def complete(plausible: Column) -> Column:
+            # The sign and what only it allows before it are left out: they would give the base form away.
+            x = F.array(
+                F.lit(number),
+                F.least(digits, F.lit(20)),
+                F.least(F.length(F.regexp_replace(match, r"[0-9+]", "")), F.lit(12)),
+                plausible.cast("int"),
+                F.contains(match, F.lit("(")).cast("int"),
+                _class(before),
+                _class(F.substring(text, end + 1, F.lit(1))),
+                told.cast("int"),
+                F.coalesce(F.substring(_digits(match), 1, 1).try_cast("int"), F.lit(10)),
+            )
+            return F.struct(
+                F.lit(number).alias("kind"), start.alias("start"), end.alias("end"),
+                (exact & _passes(kind, match)).alias("passes"), (plausible & (exact | told)).alias("likely"), x.alias("x"),
+            )
+
+        return _let(F.coalesce(_plausible(kind, match), F.lit(False)), complete)
 
     found = F.transform(_found(text, WIDE[kind], number), described).cast(_CANDIDATE)
     return F.when(text.rlike(WIDE_QUICK[kind]), found).otherwise(F.array().cast(_CANDIDATE))
@@ -222,7 +252,12 @@ def learn(found: DataFrame) -> Selector:
     )
     cells = (
         each.groupBy("held", F.col("c.x").alias("x"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.passes").cast("int")).alias("y"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("c.likely").cast("int")).alias("y"),
+            F.sum((~F.col("c.passes")).cast("int")).alias("n_new"),
+            F.sum((~F.col("c.passes") & F.col("c.likely")).cast("int")).alias("y_new"),
+        )
         .collect()
     )
     if not cells:
@@ -230,6 +265,7 @@ def learn(found: DataFrame) -> Selector:
     cells.sort(key=lambda r: (r["held"], r["x"]))
     x = np.array([r["x"] for r in cells])
     n, y = np.array([r["n"] for r in cells], float), np.array([r["y"] for r in cells], float)
+    n_new, y_new = np.array([r["n_new"] for r in cells], float), np.array([r["y_new"] for r in cells], float)
     held = np.array([r["held"] for r in cells])
     if held.all() or not held.any():
         return Selector(None, (2.0,) * len(KINDS))
@@ -240,7 +276,9 @@ def learn(found: DataFrame) -> Selector:
         own = x[held][:, 0] == kind
         order = np.argsort(-p[own], kind="stable")
         score, many, good = p[own][order], np.cumsum(n[held][own][order]), np.cumsum(y[held][own][order])
-        fine = np.flatnonzero((good >= PRECISION * many) & (many >= LEAST_EXAMPLES))
+        many_new, good_new = np.cumsum(n_new[held][own][order]), np.cumsum(y_new[held][own][order])
+        sure = (good >= PRECISION * many) & (good_new >= PRECISION * many_new)
+        fine = np.flatnonzero(sure & (many >= LEAST_EXAMPLES))
         # Cells of equal score are taken together.
         fine = [i for i in fine if i + 1 == len(score) or score[i + 1] < score[i]]
         thresholds.append(float(score[fine[-1]]) - 1e-12 if len(fine) else 2.0)

@@ -57,6 +57,21 @@ def test_near_misses_are_added_when_they_look_like_hits(documents):
     assert all(set(r["base"]) <= set(r["spans"]) for r in rows.values())
 
 
+def test_other_forms_beside_telling_words_are_added_and_false_ones_are_not(documents):
+    r = random.Random(3)
+    texts = []
+    for i in range(600):
+        phone = f"{r.randint(200, 999)}) {r.randint(200, 999)}-{r.randint(1000, 9999)}"
+        texts += [f"call +1 ({phone} now", f"mail n{i}@h{i % 9}.org now", f"row +1 ({phone} end", f"row n{i}@h{i % 9}.org end"]
+        if i % 3 == 0:
+            texts += [f"call ({phone} now", f"mail n{i} (at) h{i % 9} (dot) org now", f"row ({phone} end"]
+            texts += [f"card 4111 1111 1111 {1112 + i % 9} now"] * 2 + ["card 4111 1111 1111 1111 now"] * 2
+    rows = ["call (555) 234-5678 now", "mail name (at) host (dot) com. Then", "part (555) 234-5678 now", "card 4111 1111 1111 1112 now"]
+    docs = documents(texts + rows)
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).filter(f"doc_id >= {len(texts)}").collect()}
+    assert [got[len(texts) + i] for i in range(4)] == ["call [PHONE] now", "mail [EMAIL]. Then", *rows[2:]]
+
+
 def test_redaction_keeps_rows_and_columns(documents):
     texts = ["mail x@y.org, ip 10.0.0.1!", "clean text 12", None, "", "+1 (555) 555-0100", "+1 (555) 555-0100"]
     docs = documents(texts, keys=[1, 2, 3, None, 5, 5]).selectExpr("*", "'k' as _spans2", "7 as spans")
