@@ -4,8 +4,10 @@ Markup is stripped into lines, one per block element, and every line has a lengt
 outside links, or 0 if it stands in an element that is never part of an article (menus, adverts,
 forms, notices, comments, ...), or outside the article where a page marks one. Lengths are summed over
 windows of ``WINDOW`` lines. The sums surge from zero where running text begins and dive back to zero
-where it ends; between a surge and the next dive lies a stretch. The stretches whose highest sum is
-at least ``SHARE`` of the page's highest are kept, with every line in them that is not excluded.
+where it ends; between a surge and the next dive lies a stretch. Excluded lines between two lines of
+one container, as an advert between paragraphs, are passed over and make no dive. The stretches whose
+highest sum is at least ``LEAST`` characters, or ``SHARE`` of the highest on pages of less text, are kept,
+with every line in them that is not excluded. One long line so makes no other stretch fall.
 
 In a kept line character references are decoded, runs of white space become one space and the ends
 are trimmed; kept lines are joined by an empty line, in page order. Nothing is cut.
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 WINDOW = 3
+LEAST = 80
 SHARE = 0.2
 
 # Elements and attribute words, as the HTML standard and common practice have them.
@@ -236,18 +239,33 @@ def main_text(html: str | None) -> str:
             known[id(e)] = own or excluded(e.up)
         return known[id(e)]
 
-    texts, lengths = [], []
+    texts, lengths, passed, last = [], [], [], None
     some_main = any(l.element.inside_main and l.parts and not excluded(l.element) for l in lines)
     for line in lines:
         clean = " ".join(unescape("".join(line.parts)).split()) if line.parts else ""
         out = excluded(line.element) or some_main and not line.element.inside_main
         if not clean and not out:
             continue
-        texts.append("" if out else clean)
-        lengths.append(0 if out else max(1, len(clean) - line.linked) if clean else 0)
+        if out:
+            passed.append(line)
+            continue
+        if passed and not (last and _beside(last.element, line.element)):
+            texts += [""] * len(passed)
+            lengths += [0] * len(passed)
+        passed, last = [], line
+        texts.append(clean)
+        lengths.append(max(1, len(clean) - line.linked))
     return "\n\n".join(t for t in _stretches(texts, lengths, whole=some_main) if t)
 
 
+def _beside(a: _Element, b: _Element) -> bool:
+    """Whether two lines stand in one container, or in sections of one."""
+    if a is b or a is b.up or b is a.up or a.up is b.up:
+        return True
+    x, y = a.up, b.up
+    return x is not None and y is not None and x.name == y.name == "section" and x.up is y.up
+
+
 def _stretches(texts: list[str], lengths: list[int], whole: bool) -> list[str]:
     """Texts between the surges and dives of the sums over WINDOW lines."""
     n = len(lengths)
@@ -264,7 +282,7 @@ def _stretches(texts: list[str], lengths: list[int], whole: bool) -> list[str]:
         surge = i
         while i < n and total[i] > 0:
             i += 1
-        if whole or max(total[surge:i]) >= SHARE * peak:
+        if whole or max(total[surge:i]) >= min(LEAST, SHARE * peak):
             kept.extend(texts[surge:i])
     return kept
 

@@ -32,6 +32,21 @@ def test_deep_and_long_pages_are_read():
     assert main_text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("word") == 20_000
 
 
+def test_short_sections_between_adverts_beside_one_long_paragraph():
+    advert = "<div class=ad><p>buy</p><p>now</p><p>here</p></div>"
+    short = [f"Section {i} has a few words." for i in range(6)]
+    long = "word " * 600
+    for page in (
+        f"<body><div><p>{long}</p>{advert}{advert.join(f'<p>{s}</p>' for s in short)}</div></body>",
+        f"<body><section><p>{long}</p></section>{advert}{advert.join(f'<section><p>{s}</p></section>' for s in short)}</body>",
+    ):
+        assert main_text(page) == "\n\n".join([long.strip(), *short])
+    # Not one container: long enough by itself, or not.
+    other = "x" * 90
+    page = f"<div><p>{long}</p></div>{advert}<div><p>{other}</p></div>{advert}<div><p>tiny</p></div>"
+    assert main_text(page) == f"{long.strip()}\n\n{other}"
+
+
 def test_extract_keeps_rows_and_clashing_columns(spark):
     rows = [(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
