@@ -1,13 +1,16 @@
 """Main text of web pages by the line-block distribution.
 
 Markup is stripped into lines, one per block element, and every line has a length: that of its text
-outside links, or 0 if it stands in an element that is never part of an article (menus, adverts,
-forms, notices, comments, ...), or outside the article where a page marks one. Lengths are summed over
-windows of ``WINDOW`` lines. The sums surge from zero where running text begins and dive back to zero
+outside links, or 0 if at least two thirds of it are links or it stands in an element that is never part of
+an article (menus, adverts, forms, notices, comments, ...). Where ``article`` and ``main`` elements hold
+at least ``MAIN_SHARE`` of the page's length, the lines outside have length 0 too, and those inside weigh
+``MAIN_WEIGHT`` times; where they hold less, as teaser cards do, they count as other elements. Lengths
+are summed over windows of ``WINDOW`` lines. The sums surge from zero where running text begins and dive back to zero
 where it ends; between a surge and the next dive lies a stretch. Excluded lines between two lines of
 one container, as an advert between paragraphs, are passed over and make no dive. The stretches whose
 highest sum is at least ``LEAST`` characters, or ``SHARE`` of the highest on pages of less text, are kept,
-with every line in them that is not excluded. One long line so makes no other stretch fall.
+with every line in them that is not excluded, less the lines of length 0 at their ends (a heading before
+the first line stays). If that leaves nothing, as on a page of links, all lines are kept. One long line so makes no other stretch fall.
 
 In a kept line character references are decoded, runs of white space become one space and the ends
 are trimmed; kept lines are joined by an empty line, in page order. Nothing is cut.
@@ -31,6 +34,9 @@ from pyspark.sql import types as T
 WINDOW = 3
 LEAST = 80
 SHARE = 0.2
+MAIN_SHARE = 1 / 3
+MAIN_WEIGHT = 8
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 # Elements and attribute words, as the HTML standard and common practice have them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -239,23 +245,39 @@ def main_text(html: str | None) -> str:
             known[id(e)] = own or excluded(e.up)
         return known[id(e)]
 
-    texts, lengths, passed, last = [], [], [], None
-    some_main = any(l.element.inside_main and l.parts and not excluded(l.element) for l in lines)
+    found, inside, total = [], 0, 0
     for line in lines:
         clean = " ".join(unescape("".join(line.parts)).split()) if line.parts else ""
-        out = excluded(line.element) or some_main and not line.element.inside_main
+        out = excluded(line.element)
         if not clean and not out:
             continue
-        if out:
+        plain = 0 if out or 3 * line.linked >= 2 * len(clean) else len(clean) - line.linked
+        found.append((line, "" if out else clean, plain))
+        total += plain
+        inside += plain if line.element.inside_main else 0
+    some_main = inside > 0 and inside >= MAIN_SHARE * total
+    if not total:
+        some_main = any(clean and line.element.inside_main for line, clean, _ in found)
+    texts, lengths, headings, passed, last = [], [], [], [], None
+    for line, clean, plain in found:
+        if not clean or some_main and not line.element.inside_main:
             passed.append(line)
             continue
         if passed and not (last and _beside(last.element, line.element)):
             texts += [""] * len(passed)
             lengths += [0] * len(passed)
+            headings += [False] * len(passed)
         passed, last = [], line
         texts.append(clean)
-        lengths.append(max(1, len(clean) - line.linked))
-    return "\n\n".join(t for t in _stretches(texts, lengths, whole=some_main) if t)
+        lengths.append(plain * MAIN_WEIGHT if some_main else plain)
+        headings.append(_in_heading(line.element))
+    return "\n\n".join(t for t in _stretches(texts, lengths, headings) or texts if t)
+
+
+def _in_heading(e: _Element | None) -> bool:
+    while e is not None and e.name not in BLOCKS:
+        e = e.up
+    return e is not None and e.name in HEADINGS
 
 
 def _beside(a: _Element, b: _Element) -> bool:
@@ -266,14 +288,14 @@ def _beside(a: _Element, b: _Element) -> bool:
     return x is not None and y is not None and x.name == y.name == "section" and x.up is y.up
 
 
-def _stretches(texts: list[str], lengths: list[int], whole: bool) -> list[str]:
+def _stretches(texts: list[str], lengths: list[int], headings: list[bool]) -> list[str]:
     """Texts between the surges and dives of the sums over WINDOW lines."""
     n = len(lengths)
     total, run = [0] * n, 0
     for i in range(n):
         run += lengths[i] - (lengths[i - WINDOW] if i >= WINDOW else 0)
         total[i] = run  # of the lines i - WINDOW + 1 .. i
-    peak = max(total, default=0)
+    least = min(LEAST, SHARE * max(total, default=0))
     kept, i = [], 0
     while i < n:
         if total[i] == 0:
@@ -282,8 +304,13 @@ def _stretches(texts: list[str], lengths: list[int], whole: bool) -> list[str]:
         surge = i
         while i < n and total[i] > 0:
             i += 1
-        if whole or max(total[surge:i]) >= min(LEAST, SHARE * peak):
-            kept.extend(texts[surge:i])
+        dive = i
+        while lengths[dive - 1] == 0:
+            dive -= 1
+        if max(total[surge:i]) >= least:
+            if surge and headings[surge - 1]:
+                kept.append(texts[surge - 1])
+            kept.extend(texts[surge:dive])
     return kept
 
 

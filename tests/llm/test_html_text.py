@@ -47,6 +47,24 @@ def test_short_sections_between_adverts_beside_one_long_paragraph():
     assert main_text(page) == f"{long.strip()}\n\n{other}"
 
 
+LINKS = "<div>" + "".join(f"<p><a href=x>Other story {i}</a></p>" for i in range(5)) + "</div>"
+
+
+def test_link_lists_in_articles_go_and_their_prose_stays():
+    first, second = "First words of the story. " * 6, "Second, with <a href=x>one link</a> in it. " * 6
+    page = f"<article><h1><a href=x>Title</a></h1><p>{first}</p><p>{second}</p>{LINKS}<p>Last line.</p>{LINKS}</article>"
+    prose = second.replace("<a href=x>", "").replace("</a>", "")
+    assert main_text(page) == "\n\n".join(["Title", first.strip(), prose.strip(), "Last line."])
+    assert main_text(LINKS).count("Other story") == main_text(f"<main>{LINKS}</main>").count("Other story") == 5
+
+
+def test_a_body_beside_teaser_articles_is_kept():
+    body = "A long paragraph of the body of the page. " * 20
+    cards = "".join(f"<article><h3><a href=x>Teaser {i}</a></h3></article><article><p>Read it.</p></article>" for i in range(4))
+    assert body.strip() in main_text(f"<div><p>{body}</p><p>{body}</p></div><div>{cards}</div>")
+    assert main_text(f"<main><p>{body}</p></main><div><p>{body[:200]}</p></div>") == body.strip()
+
+
 def test_extract_keeps_rows_and_clashing_columns(spark):
     rows = [(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
