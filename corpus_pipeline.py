@@ -39,7 +39,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with a benchmark item."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), by_share=True)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

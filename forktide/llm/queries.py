@@ -64,7 +64,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decontamination")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that share a passage, words replaced or not."""
-    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), by_share=True
+    )
 
 
 @query("op8_ngram_join")
