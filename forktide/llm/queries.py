@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, ngram_join, pii, piece_sampling, quality, token_counts
+from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, merkle, ngram_join, pii, piece_sampling, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -102,3 +102,77 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [pii.count_of(kind, "base").alias(f"n_{kind}") for kind in pii.KINDS]
     digest = F.sha2(pii.written("base").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, pii.written("spans").alias("spans"))
+
+
+# Levels of both trees are built by recursion; crc32 is written out by its bits, as a register that starts
+# from all ones and takes each byte and then eight shifts (marked -1). Steps are a side and a hash.
+MERKLE_SQL = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang,
+    coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+      || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+      || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-') AS head,
+    coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS size,
+    coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR)::VARCHAR || ':' || (n_chars::HUGEINT + 1)::VARCHAR, '-') AS other,
+    coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS body,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, 3988292384 * (r & 1)) END)) AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, lang, sha256(head || size || body) AS leaf,
+    CASE WHEN crc % 7 = 0 THEN sha256(head || other || body) ELSE sha256(head || size || body) END AS seen
+  FROM fields
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed
+), tree(level, lang, i, n, h) AS (
+  SELECT 0, lang, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY level, lang, i // 2, n
+), subroots AS (
+  SELECT level, lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), over_tree(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM over_tree WHERE n > 1 GROUP BY level, i // 2, n
+), tops AS (SELECT level, h FROM over_tree WHERE n = 1),
+over_steps AS (
+  SELECT s.lang, l.level, CASE WHEN t.h IS NULL THEN '' WHEN (s.i >> l.level) % 2 = 1 THEN '<' || t.h ELSE '>' || t.h END AS step
+  FROM subroots s, tops p, unnest(range(p.level)) AS l(level)
+  LEFT JOIN over_tree t ON t.level = l.level AND t.i = xor(s.i >> l.level, 1)
+), outer_lists AS (
+  SELECT lang, list(step ORDER BY level) AS steps FROM over_steps GROUP BY lang
+), own_steps AS (
+  SELECT d.lang, d.i, l.level, CASE WHEN t.h IS NULL THEN '' WHEN (d.i >> l.level) % 2 = 1 THEN '<' || t.h ELSE '>' || t.h END AS step
+  FROM leaves d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang, unnest(range(s.level)) AS l(level)
+  LEFT JOIN tree t ON t.level = l.level AND t.lang IS NOT DISTINCT FROM d.lang AND t.i = xor(d.i >> l.level, 1)
+), own_lists AS (
+  SELECT lang, i, list(step ORDER BY level) AS steps FROM own_steps GROUP BY lang, i
+), proven AS (
+  SELECT d.doc_id, d.leaf, d.seen, s.h AS subroot, p.h AS root, coalesce(o.steps, []) || coalesce(u.steps, []) AS steps
+  FROM leaves d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang, tops p
+  LEFT JOIN own_lists o ON o.lang IS NOT DISTINCT FROM d.lang AND o.i = d.i
+  LEFT JOIN outer_lists u ON u.lang IS NOT DISTINCT FROM d.lang
+), folded AS (
+  SELECT *, sha256(coalesce(array_to_string(list_transform(steps, lambda x: x[2:]), ''), '')) AS proof_sha256,
+    list_reduce(list_prepend(seen, steps), lambda h, x: CASE WHEN x = '' THEN sha256(h)
+      WHEN x[1] = '<' THEN sha256(x[2:] || h) ELSE sha256(h || x[2:]) END) AS folded_root
+  FROM proven
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+@query("op13_merkle", MERKLE_SQL)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; every seventh key's size is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    # As a decimal, so that adding one to the largest size is no overflow.
+    larger = F.col("n_chars").cast("decimal(20,0)") + crc_mod("doc_id", 7).eqNullSafe(0).cast("int")
+    return merkle.manifest(docs, tampered={"n_chars": larger.cast("decimal(20,0)")})
