@@ -91,7 +91,7 @@ def siblings(path: Sequence[str]) -> list[str]:
 
 
 def numbered(spark: SparkSession, rows: DataFrame, order: Sequence[str], purpose: str) -> DataFrame:
-    """Adds ``i``, the position from 0 within ``g``, and ``n``, the rows of ``g``; stored.
+    """Adds ``i``, the position from 0 within ``g``, and ``n``, the rows of ``g``.
 
     Sorted ranges of (g, order) are written with their place in the range; one row per range and
     group then carries the offsets. ``order`` has to tell apart rows of one group that are many.
@@ -100,7 +100,6 @@ def numbered(spark: SparkSession, rows: DataFrame, order: Sequence[str], purpose
     placed = stored(spark, placed.withColumn("_at", F.monotonically_increasing_id()), purpose)
     placed = placed.withColumn("_part", F.shiftright("_at", 33))  # the id is the partition and the place in it
     runs = placed.groupBy("g", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    runs = stored(spark, runs, f"{purpose}_runs")
     # One row per range and group: few, however many rows a group has.
     before = F.coalesce(
         F.expr("sum(_n) over (partition by g order by _part rows between unbounded preceding and 1 preceding)"),
@@ -194,11 +193,11 @@ def manifest(
     rows = docs.select(name.alias("g"), F.col(key).alias("k"), own.alias("h"), seen.alias("seen"))
     rows = stored(spark, rows.withColumn("salt", F.monotonically_increasing_id()), "leaves")
 
-    placed = stored(spark, numbered(spark, rows, ["k", "h", "salt"], "placed"), "numbered")
+    placed = numbered(spark, rows, ["k", "h", "salt"], "placed")
     trees = tiers(spark, placed, bits, "tier")
     ends = [t.filter("n = 1").select(F.col("g").alias("name"), "h") for t in trees[1:]]
     subs = reduce(DataFrame.unionByName, ends).withColumn("g", F.lit(""))
-    subs = stored(spark, numbered(spark, subs, ["name"], "groups"), "subroots")
+    subs = numbered(spark, subs, ["name"], "subroots")
     over = tiers(spark, subs, bits, "over")
     last = over[-1].first()
     root = "" if last is None else last["h"]
