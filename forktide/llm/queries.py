@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import class_lm, decontamination, fingerprints, html_text, language_id, merkle, ngram_join, pii, piece_sampling, quality, token_counts
+from forktide.llm import byte_pairs, class_lm, decontamination, fingerprints, html_text, language_id, merkle, ngram_join, pii, piece_sampling, quality, token_counts
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
@@ -176,3 +177,9 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     # As a decimal, so that adding one to the largest size is no overflow.
     larger = F.col("n_chars").cast("decimal(20,0)") + crc_mod("doc_id", 7).eqNullSafe(0).cast("int")
     return merkle.manifest(docs, tampered={"n_chars": larger.cast("decimal(20,0)")})
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and what they decode to, as hashes."""
+    return byte_pairs.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), with_ids=False)
