@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forktide.llm import byte_pairs, class_lm, decontamination, fingerprints, html_text, language_id, merkle, ngram_join, pii, piece_sampling, quality, token_counts
+from forktide.llm import byte_pairs, class_lm, decontamination, fingerprints, html_text, language_id, merkle, ngram_join, pii, piece_sampling, quality, token_counts, whitening
 from forktide.llm.common import ORACLES, QUERIES, crc_mod, query, table  # noqa: F401
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -183,3 +183,10 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and what they decode to, as hashes."""
     return byte_pairs.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), with_ids=False)
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the four leading directions of the distinct ones."""
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.learn(rows))
