@@ -103,6 +103,50 @@ def streamed_visible(spark: SparkSession, sf: str) -> DataFrame:
     return by_type(store.visible("events"))
 
 
+PIECES = 7
+
+
+def apply_in_pieces(store: ForkStore, rows: DataFrame, pieces: int = PIECES) -> None:
+    """The final part, then the head in epochs that hold an equal share of the deliveries each."""
+    top, low = rows.filter("is_head").agg(F.max("seq"), F.min("seq")).first()
+    store.apply_final(rows.filter(~F.col("is_head")), as_events, "feed", 0)
+    for n in range(pieces):
+        after, upto = low + (top + 1 - low) * n // pieces, low + (top + 1 - low) * (n + 1) // pieces
+        part = rows.filter(F.col("is_head") & (F.col("seq") >= after) & (F.col("seq") < upto))
+        store.apply_hot(part, as_events, "feed", n + 1)
+
+
+@query(
+    "registry_replayed",
+    feed_sql(f"""
+, head AS (SELECT h // {FINAL_PART * d.PERIOD} * {d.PERIOD} AS f, h FROM tip)
+SELECT height, hash, height > h - {FINALITY} AS unfinalized FROM canon, head WHERE height >= f"""),
+)
+def registry_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Registry and hot chain after several epochs with forks, replayed from changes and two bases."""
+    store = open_store(spark, "replayed", auto_migrate=False, registry_spans=3)
+    apply_in_pieces(store, feed(spark, sf))
+    hot = store.hot_chain().select("height", F.lit(True).alias("unfinalized"))
+    found = store.registry().join(hot, "height", "left")
+    return found.select("height", "hash", F.coalesce("unfinalized", F.lit(False)).alias("unfinalized"))
+
+
+@query(
+    "move_while_catching_up",
+    feed_sql(f"""
+, head AS (SELECT h // {FINAL_PART * d.PERIOD} * {d.PERIOD} AS f FROM tip)
+SELECT 0 AS moved, -1 AS cutoff, count(*) AS cold
+FROM rows_ JOIN canon USING (height, hash), head WHERE height <= f"""),
+)
+def move_while_catching_up(spark: SparkSession, sf: str) -> DataFrame:
+    """A manual move moves nothing as long as the feed is not at its head; rows are in cold already."""
+    store = open_store(spark, "catching", hold_to_finality=False)
+    store.apply(feed(spark, sf).filter(~F.col("is_head")), as_events, "feed", 0)
+    result = store.migrate()
+    cold = store.visible("events").agg(F.count(F.lit(1)).alias("cold"))
+    return cold.select(F.lit(result.migrated).alias("moved"), F.lit(result.cutoff_height).alias("cutoff"), "cold")
+
+
 @query(
     "moved_with_hooks",
     feed_sql(f"""

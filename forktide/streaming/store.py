@@ -14,7 +14,6 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
-from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,6 +26,8 @@ from forktide.operators.versions import latest_by_key
 from forktide.sources import tables as tb
 from forktide.sources.rows import normalise_rows
 from forktide.sources.tables import EPOCH, INGEST_SEQ, MONTH, MOVE, PROCESSOR, TOP
+from forktide.streaming import registry_log
+from forktide.streaming.registry_log import MissingVersion, RegistryLog, Span
 
 Handler = Callable[[DataFrame], Mapping[str, DataFrame]]
 
@@ -34,6 +35,8 @@ ERA = 256
 REGISTRY = "valid_blocks"
 OPS_LOG = "ops_log"
 MOVED, COMPACTED = "move", "compact"
+# Blocks of the hot chain that the status row repeats; all of them are in the registry.
+CHAIN_TAIL = 256
 LOG_COLUMNS = oplog.LOG_SCHEMA.replace("processor_id string, ", "") + ", processor_id string"
 
 
@@ -61,8 +64,10 @@ class StoreOptions:
     hold_to_finality: bool = True
     log_operations: bool = True
     parallel_writes: int = 4
-    # Registry versions stay this long after a newer one came, for readers that began before.
+    # Registry versions stay this long after they were replaced, for readers that began before.
     keep_versions_ms: int = 3_600_000
+    # Changes of the registry that are read together before it is written as a whole again.
+    registry_spans: int = 32
     persist_catch_up: bool = False
 
     @property
@@ -72,7 +77,8 @@ class StoreOptions:
 
 @dataclass(frozen=True)
 class Recovered:
-    """What ``connect`` returns: where to resume, and the hot blocks on top of it."""
+    """What ``connect`` returns: where to resume, and the hot blocks on top of it, the newest
+    ``CHAIN_TAIL`` if there are more; ``ForkStore.hot_chain`` has all."""
 
     height: int
     hash: str
@@ -90,6 +96,8 @@ class _State:
     finalized_height: int = -1
     finalized_hash: str = ""
     registry_version: int = 0
+    spans: tuple[Span, ...] = ()
+    at_head: bool = False
     blocks_since: int = 0
     progress: tuple[tuple[str, int], ...] = ()
 
@@ -119,7 +127,7 @@ class ForkStore:
         self._state = _State()
         self._cutoffs: dict[str, int] = {}
         self._ops: list[tuple] = []
-        self._outdated: dict[int, float] = {}
+        self._log_of_blocks = RegistryLog(spark, self._name(REGISTRY), self.processor, self.options.registry_spans)
 
     # ---- names -------------------------------------------------------------------------------
 
@@ -161,19 +169,18 @@ class ForkStore:
             list(self.snapshots.values()),
             self.location,
         )
-        registry = "height bigint, hash string, timestamp timestamp"
+        self._log_of_blocks.create()
         status = (
             "height bigint, hash string, parent_hash string, hot_blocks string, "
             "finalized_height bigint, finalized_hash string, timestamp timestamp, "
-            "last_run bigint, epoch bigint, registry_version bigint, blocks_since bigint, "
-            "progress string"
+            "last_run bigint, epoch bigint, registry_version bigint, registry_spans string, "
+            "at_head boolean, blocks_since bigint, progress string"
         )
         cold = (
             "height bigint, hash string, timestamp timestamp, tables array<string>, kind string, "
             "month string, epoch bigint"
         )
         for name, columns, by in (
-            (self._name(REGISTRY), registry, "processor_id string, version bigint"),
             (self._status_name, status, "id string, era bigint"),
             (self._cold_status_name, cold, "id string"),
             (self._name(OPS_LOG), LOG_COLUMNS.rsplit(", ", 1)[0], "processor_id string"),
@@ -230,19 +237,26 @@ class ForkStore:
             (F.col("id") == self.processor) & (F.col("era") >= newest - 1)
         )
 
-    def _read_state(self) -> _State:
-        row = self._status_rows().agg(
+    def _read_state(self, registry_version: int | None = None) -> _State:
+        """The committed state, or that of the last epoch that had a registry version."""
+        rows = self._status_rows()
+        if registry_version is not None:
+            rows = rows.filter(F.col("registry_version") == registry_version)
+        row = rows.agg(
             F.max_by(
                 F.struct(
                     "epoch", "height", "hash", "finalized_height", "finalized_hash",
-                    "registry_version", "blocks_since", "progress",
+                    "registry_version", "registry_spans", "at_head", "blocks_since", "progress",
                 ),
                 "epoch",
             ).alias("s")
         ).first()["s"]
         if row is None:
+            if registry_version:
+                raise MissingVersion(f"registry version {registry_version} of {self.processor} is not there")
             return _State()
         values = row.asDict()
+        values["spans"] = registry_log.from_text(values.pop("registry_spans"))
         values["progress"] = tuple(sorted(json.loads(values["progress"]).items()))
         return _State(**values)
 
@@ -281,6 +295,8 @@ class ForkStore:
     def _load(self) -> None:
         self._state = self._read_state()
         self._cutoffs, _ = self._read_commits()
+        named = {span.version for span in self._state.spans}
+        self._log_of_blocks.outdate([v for v in self._log_of_blocks.versions() if v not in named])
 
     def _lowest_cutoff(self) -> int:
         return min(self._cutoffs.values(), default=-1)
@@ -291,44 +307,20 @@ class ForkStore:
     # ---- registry ------------------------------------------------------------------------------
 
     def registry(self, version: int | None = None) -> DataFrame:
-        """Registered blocks ``(processor_id, height, hash)`` of the committed version."""
-        if version is None:
-            version = self._read_state().registry_version
-        self.spark.catalog.refreshTable(self._name(REGISTRY))
-        rows = self.spark.table(self._name(REGISTRY)).filter(
-            (F.col(PROCESSOR) == self.processor) & (F.col("version") == version)
-        ).select(PROCESSOR, "height", "hash", "timestamp")
-        # The files are named here: when the version was dropped meanwhile, reading them is an error,
-        # while a filter on the table would find an empty registry. A version has a file or none.
-        files = [unquote(f) for f in rows.inputFiles()]
-        if not files:
-            return rows.limit(0)
-        found = self.spark.read.schema(rows.select("height", "hash", "timestamp").schema).parquet(*files)
-        return found.select(F.lit(self.processor).alias(PROCESSOR), "height", "hash", "timestamp")
-
-    def _publish_registry(self, rows: DataFrame, version: int) -> tuple[int, str] | None:
-        """Write a whole new version, at most one block per height; returns its tip."""
-        tip = Observation()
-        tb.overwrite_partitions(
-            rows.select(PROCESSOR, "height", "hash", "timestamp")
-            .coalesce(1)
-            .observe(tip, F.max("height").alias("height"), F.max_by("hash", "height").alias("hash"))
-            .withColumn("version", F.lit(version).cast("bigint")),
-            self._name(REGISTRY),
-        )
-        found = _observed(tip)
-        return None if not found or found["height"] is None else (found["height"], found["hash"])
-
-    def _drop_registry_versions(self, below: int) -> None:
-        """Drops versions that have been outdated for ``keep_versions_ms``, as far as this process knows."""
-        now = time.monotonic()
-        parts = {
-            int(p["version"]): p
-            for p in tb.partitions_of(self.spark, self._name(REGISTRY), processor_id=self.processor)
-        }
-        self._outdated = {v: self._outdated.get(v, now) for v in parts if v < below}
-        old = [v for v, since in self._outdated.items() if (now - since) * 1000 >= self.options.keep_versions_ms]
-        tb.drop_partitions(self.spark, self._name(REGISTRY), [parts[v] for v in old])
+        """Registered blocks ``(processor_id, height, hash, timestamp)`` of the committed version, or of an
+        older one (R8); ``MissingVersion`` if it was dropped or never committed."""
+        return self._log_of_blocks.read(self._read_state(version).spans)
+
+    def hot_chain(self) -> DataFrame:
+        """Registered blocks above the finalized height, however many there are."""
+        s = self._read_state()
+        return self._log_of_blocks.read(s.spans, s.finalized_height + 1)
+
+    def _publish_registry(
+        self, s: _State, version: int, rows: DataFrame, below: int | None = None, from_: int | None = None
+    ) -> tuple[tuple[Span, ...], str | None]:
+        """Write the blocks of an epoch; returns the manifest to commit and the hash of the tip written."""
+        return self._log_of_blocks.publish(version, s.spans, rows, below, from_)
 
     def registry_bounds(self) -> DataFrame:
         """Highest, lowest and number of registered heights, and the finality threshold."""
@@ -346,9 +338,10 @@ class ForkStore:
                      hash: str = "hash") -> DataFrame:
         """Rows at or below ``current_height - depth``, and registered ones above (P3 as it is)."""
         cut = current_height - self.options.depth
-        above = self.registry().drop(PROCESSOR).filter(F.col("height") > cut)
+        s = self._read_state()
+        above = self._log_of_blocks.read(s.spans, cut + 1).drop(PROCESSOR)
         return visible.valid_rows(
-            rows, above, F.lit(cut), max_blocks=max(self._read_state().height - cut, 0), height=height, hash=hash
+            rows, above, F.lit(cut), max_blocks=max(s.height - cut, 0), height=height, hash=hash
         )
 
     # ---- reading -------------------------------------------------------------------------------
@@ -367,7 +360,7 @@ class ForkStore:
         cutoffs, compacted = self._read_commits()
         cutoff = cutoffs[table]
         hot = self._committed_hot(t, s).filter(F.col(TOP) > cutoff).filter(F.col(t.height) > cutoff)
-        blocks_above = self.registry(s.registry_version).filter(F.col("height") > cutoff)
+        blocks_above = self._log_of_blocks.read(s.spans, cutoff + 1)
         hot = visible.registered_rows(
             hot,
             blocks_above.drop(PROCESSOR),
@@ -484,20 +477,20 @@ class ForkStore:
                     fresh = latest_by_key(fresh, t.key, [INGEST_SEQ])
                 self._stage_cold(t, fresh, top)
 
-            def to_registry() -> tuple[int, str] | None:
-                kept = self.registry(s.registry_version).filter(F.col("height") > top)
+            def to_registry() -> tuple[tuple[Span, ...], str | None]:
                 tip = self.spark.range(0, 1, 1, 1).select(
-                    F.lit(self.processor).alias(PROCESSOR),
                     F.lit(top).cast("bigint").alias("height"),
                     F.lit(top_hash).alias("hash"),
                     F.current_timestamp().alias("timestamp"),
                 )
-                return self._publish_registry(kept.unionByName(tip), epoch)
+                return self._publish_registry(s, epoch, tip, from_=top + 1)
 
             advances = top > self._lowest_cutoff()
-            tip = self._write_all(
+            published = self._write_all(
                 handler(batch), epoch, to_cold, to_registry if advances else None
             )
+            spans = published[0] if published else s.spans
+            tip = registry_log.tip(spans)
             if advances:
                 behind = [n for n in self.events if self._cutoffs[n] < top]
                 self._commit_cold(top, top_hash, behind, epoch)
@@ -507,16 +500,19 @@ class ForkStore:
                 replace(
                     s,
                     epoch=epoch,
-                    height=tip[0] if tip else s.height,
-                    hash=tip[1] if tip else s.hash,
+                    # Hot blocks above the batch stay the tip.
+                    height=tip if advances else s.height,
+                    hash=top_hash if advances and tip == top else s.hash,
                     finalized_height=top if final else s.finalized_height,
                     finalized_hash=top_hash if final else s.finalized_hash,
                     registry_version=epoch if advances else s.registry_version,
+                    spans=spans,
+                    at_head=False,
                     progress=s.after(source, batch_id),
                 ),
                 head["parent"],
             )
-            self._drop_registry_versions(s.registry_version)
+            self._log_of_blocks.drop_outdated(self._state.spans, self.options.keep_versions_ms)
         finally:
             if self.options.persist_catch_up:
                 batch.unpersist()
@@ -534,7 +530,7 @@ class ForkStore:
         batch = batch.persist()
         try:
             s = self._state
-            registry = self.registry(s.registry_version)
+            registry = self._log_of_blocks.read(s.spans)
             lowest = self._lowest_cutoff()
             delivered = self._delivered(batch)
             known = registry.select("height", "hash", F.lit(True).alias("_known"))
@@ -550,6 +546,7 @@ class ForkStore:
                 epoch=s.epoch + 1,
                 finalized_height=finalized,
                 finalized_hash=finalized_hash,
+                at_head=True,
                 progress=s.after(source, batch_id),
             )
             if head["n_blocks"] == 0:
@@ -581,9 +578,6 @@ class ForkStore:
             winners = chain.canonical_chain(
                 delivered.filter(new).withColumn(PROCESSOR, F.lit(self.processor))
             ).withColumn("timestamp", F.current_timestamp())
-            after = chain.prune_below(
-                chain.after_fork(registry, F.lit(fork_height), winners), F.lit(lowest)
-            )
 
             def to_hot(t: tb.EventTable, rows: DataFrame) -> None:
                 placed = rows.withColumn(TOP, F.lit(head["top"]).cast("bigint"))
@@ -597,7 +591,7 @@ class ForkStore:
                 handler(batch.filter(new)),
                 ahead.epoch,
                 to_hot,
-                lambda: self._publish_registry(after, ahead.epoch),
+                lambda: self._publish_registry(s, ahead.epoch, winners, below=fork_height, from_=lowest),
             )
             self._log(
                 "blocks", ok=True, finalized=False, amount=head["n_blocks"], height=head["top"]
@@ -605,14 +599,15 @@ class ForkStore:
             self._save(
                 replace(
                     ahead,
-                    height=published[0],
+                    height=registry_log.tip(published[0]),
                     hash=published[1],
                     registry_version=ahead.epoch,
+                    spans=published[0],
                     blocks_since=s.blocks_since + head["n_blocks"],
                 ),
                 head["parent"],
             )
-            self._drop_registry_versions(s.registry_version)
+            self._log_of_blocks.drop_outdated(self._state.spans, self.options.keep_versions_ms)
             if migration.should_migrate(
                 self.options.auto_migrate,
                 True,
@@ -667,11 +662,11 @@ class ForkStore:
         outputs: Mapping[str, DataFrame],
         epoch: int,
         write: Callable[[tb.EventTable, DataFrame], None],
-        publish: Callable[[], tuple[int, str] | None] | None = None,
-    ) -> tuple[int, str] | None:
+        publish: Callable[[], tuple[tuple[Span, ...], str | None]] | None = None,
+    ) -> tuple[tuple[Span, ...], str | None] | None:
         """Write the tables of one batch, several at a time (T6); any failure fails the epoch.
 
-        The registry version is published alongside; its tip is returned.
+        The registry change is published alongside, and what that returns is returned.
         """
 
         def one(name: str, rows: DataFrame) -> tuple[str, int]:
@@ -684,12 +679,12 @@ class ForkStore:
             return name, _ms(started)
 
         with ThreadPoolExecutor(max_workers=self.options.parallel_writes) as pool:
-            tip = pool.submit(publish) if publish is not None else None
+            change = pool.submit(publish) if publish is not None else None
             done = [pool.submit(one, name, rows) for name, rows in outputs.items()]
             for future in done:
                 name, took = future.result()
                 self._log("insert", ok=True, duration_ms=took, table=name)
-            return tip.result() if tip is not None else None
+            return change.result() if change is not None else None
 
     @staticmethod
     def _use_adaptive(batch: DataFrame) -> None:
@@ -756,15 +751,15 @@ class ForkStore:
     def _save(self, new: _State, parent: str | None) -> None:
         """Append the status row (R11): the commit point of the epoch.
 
-        The hot chain is that of the registry version the row names. The operations logged so far go
-        out at the same time; they are not part of the commit.
+        The cell ``hot_blocks`` has the newest ``CHAIN_TAIL`` unfinalized blocks of the registry, so no
+        row grows while finality is silent. The operations logged so far go out at the same time;
+        they are not part of the commit.
         """
         now = int(time.time() * 1000)
         era = new.epoch // ERA
-        unfinalized = F.when(F.col("height") > new.finalized_height, F.struct("height", "hash"))
-        hot_chain = self.registry(new.registry_version).agg(
-            blocks.blocks_json(F.array_sort(F.collect_list(unfinalized))).alias("hot_blocks")
-        )
+        from_ = max(new.finalized_height, new.height - CHAIN_TAIL) + 1
+        tail = F.array_sort(F.collect_list(F.struct("height", "hash")))
+        hot_chain = self._log_of_blocks.read(new.spans, from_).agg(blocks.blocks_json(tail).alias("hot_blocks"))
         row = hot_chain.select(
             F.lit(new.height).cast("bigint").alias("height"),
             F.lit(new.hash).alias("hash"),
@@ -776,6 +771,8 @@ class ForkStore:
             F.lit(now).cast("bigint").alias("last_run"),
             F.lit(new.epoch).cast("bigint").alias("epoch"),
             F.lit(new.registry_version).cast("bigint").alias("registry_version"),
+            F.lit(registry_log.to_text(new.spans)).alias("registry_spans"),
+            F.lit(new.at_head).alias("at_head"),
             F.lit(new.blocks_since).cast("bigint").alias("blocks_since"),
             F.lit(json.dumps(dict(new.progress))).alias("progress"),
             F.lit(self.processor).alias("id"),
@@ -846,11 +843,17 @@ class ForkStore:
         return 0
 
     def migrate(self, cutoff: int | None = None) -> migration.MigrationResult:
-        """Move settled rows of every table from hot to cold (M3 - M7).
+        """Move settled rows of every table from hot to cold (M3 - M7); nothing while catching up, when
+        rows go to cold by themselves.
 
         Per table: stage cold partitions, then one commit row for all tables that were staged, then
         reclaim hot. A failing table keeps its own cutoff and its rows stay visible in hot.
         """
+        if not self._state.at_head:
+            return migration.MigrationResult(0, -1, 0)
+        return self._migrate(cutoff)
+
+    def _migrate(self, cutoff: int | None) -> migration.MigrationResult:
         started = time.time()
         s = self._state
         if cutoff is None:
@@ -861,7 +864,7 @@ class ForkStore:
             return migration.MigrationResult(0, -1, _ms(started))
         if cutoff <= self._lowest_cutoff():
             return migration.MigrationResult(0, cutoff, _ms(started))
-        registry = self.registry(s.registry_version)
+        registry = self._log_of_blocks.read(s.spans, self._lowest_cutoff() + 1)
         moves, failed = [], []
         for t in self.events.values():
             if self._cutoffs[t.name] >= cutoff:
@@ -937,13 +940,13 @@ class ForkStore:
     def _drain(self, upto: int) -> None:
         """Falling back to catching up: hot rows below the final batch go to cold first."""
         if upto > self._lowest_cutoff():
-            result = self.migrate(upto)
+            result = self._migrate(upto)
             if result.failed:
                 raise RuntimeError(f"hot rows could not be moved: {result.failed}")
 
     def hash_for_height(self, height: int) -> str | None:
         """Hash of the block at a height: hot chain and registry first, then cold and hot rows."""
-        at = self.registry(self._state.registry_version).filter(F.col("height") == height)
+        at = self._log_of_blocks.read(registry_log.cut(self._state.spans, height + 1, height)).filter(F.col("height") == height)
         known = at.agg(F.min("hash")).first()[0]
         if known is not None or not self.events:
             return known
@@ -1004,7 +1007,7 @@ class ForkStore:
             parts = tb.partitions_of(self.spark, name, processor_id=self.processor)
             tb.drop_partitions(self.spark, name, parts)
             dropped += len(parts)
-        self.spark.catalog.refreshTable(self._name(REGISTRY))
+        self._log_of_blocks.outdate([span.version for span in self._state.spans])
         new = replace(
             self._state,
             epoch=self._state.epoch + 1,
@@ -1013,11 +1016,13 @@ class ForkStore:
             finalized_height=height,
             finalized_hash=hash,
             registry_version=self._state.epoch + 1,
+            spans=(),
+            at_head=False,
             blocks_since=0,
         )
         self._log("clear_hot", ok=True, amount=dropped, height=height)
         self._save(new, None)
-        self._drop_registry_versions(new.registry_version)
+        self._log_of_blocks.drop_outdated((), self.options.keep_versions_ms)
 
     # ---- removal -------------------------------------------------------------------------------
 

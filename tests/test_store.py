@@ -13,6 +13,7 @@ from forktide.operators.contracts import ContractError
 from forktide.operators.migration import MigrationHooks, MigrationResult
 from forktide.sources import feed
 from forktide.sources import tables as tb
+from forktide.streaming.registry_log import MissingVersion
 from forktide.streaming.runner import drop_repeated, run_feed
 from forktide.streaming.store import FinalityError, ForkStore, StoreOptions
 from model import random_deliveries, stack_chain
@@ -554,7 +555,8 @@ def test_transfers_from_logs_to_totals(spark):
 
 
 def test_reader_of_an_old_registry_version(spark):
-    store = new_store(spark, keep_versions_ms=0)
+    # Every version is written as a whole, so the first one leaves the manifest.
+    store = new_store(spark, keep_versions_ms=0, registry_spans=1)
     store.apply_hot(batch(spark, blocks(1, 5)), to_events, "s", 0)
     held = store.visible("test_events")
     for n in range(1, 4):
@@ -568,6 +570,52 @@ def test_reader_of_an_old_registry_version(spark):
     for n in range(1, 6):
         patient.apply_hot(batch(spark, blocks(5 + n, 5 + n, seq=10 * n)), to_events, "s", n)
     assert sorted(r["height"] for r in held.collect()) == sorted([*range(1, 6)] * 2)
+    with pytest.raises(MissingVersion, match="not there"):
+        patient.registry(99)
+
+
+def test_dropped_registry_versions_are_errors(spark):
+    store = new_store(spark, keep_versions_ms=0, registry_spans=2)
+    for n in range(5):
+        store.apply_hot(batch(spark, blocks(1 + 3 * n, 3 + 3 * n, seq=10 * n)), to_events, "s", n)
+    assert [r["height"] for r in store.registry(5).orderBy("height").collect()] == list(range(1, 16))
+    with pytest.raises(MissingVersion, match="gone"):
+        store.registry(1)
+    kept = new_store(spark, registry_spans=2)
+    for n in range(3):
+        kept.apply_hot(batch(spark, blocks(1 + 3 * n, 3 + 3 * n, seq=10 * n)), to_events, "s", n)
+    kept.clear_hot(-1, "")
+    assert kept.registry().count() == 0, "empty, not missing"
+    assert [kept.registry(v).count() for v in (1, 2, 3, 4)] == [3, 6, 9, 0]
+
+
+def test_long_silence_of_finality(spark, monkeypatch):
+    import forktide.streaming.store as module
+
+    monkeypatch.setattr(module, "CHAIN_TAIL", 6)
+    store = new_store(spark, registry_spans=3)
+    for n in range(6):
+        store.apply_hot(batch(spark, blocks(1 + 4 * n, 4 + 4 * n, seq=10 * n), finalized=2), to_events, "s", n)
+        cell = spark.table(store._status_name).orderBy(F.desc("epoch")).first()["hot_blocks"]
+        assert cell.count("height") <= 6
+    assert store.hot_chain().count() == 22
+    back = again(spark, store)
+    assert back.recovered.top == tuple((h, f"a{h}") for h in range(19, 25))
+    back.apply_hot(batch(spark, blocks(10, 12, "b", 100)), to_events, "s", 6)  # deeper than the cell
+    assert seen(back) == expected(chain_of(1, 9) + chain_of(10, 12, "b"))
+    assert [(r["height"], r["hash"]) for r in back.hot_chain().orderBy("height").collect()] == (
+        chain_of(3, 9) + chain_of(10, 12, "b")
+    )
+
+
+def test_no_manual_move_while_catching_up(spark):
+    store = new_store(spark, hold_to_finality=False)
+    store.apply_final(batch(spark, blocks(0, 30)), to_events, "s", 0)
+    assert store.migrate(40) == MigrationResult(0, -1, 0)
+    assert store.cold_status().first()["height"] == 30
+    store.apply_hot(batch(spark, blocks(31, 45, seq=50)), to_events, "s", 1)
+    back = again(spark, store)
+    assert back.migrate(40).cutoff_height == 40, "the head is remembered"
 
 
 # ---- tables that move unevenly -----------------------------------------------------------------------
