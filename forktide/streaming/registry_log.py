@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from forktide.operators.chain import PROCESSOR
 from forktide.sources import tables as tb
 
-SCHEMA = "height bigint, hash string, timestamp timestamp"
-VERSION = "version"
+VERSION, SINCE = "version", "since"
+# The files say which version they belong to, as they are read by their names.
+SCHEMA = f"height bigint, hash string, timestamp timestamp, {SINCE} bigint"
 
 
 class MissingVersion(LookupError):
@@ -94,20 +95,15 @@ class RegistryLog:
         rows = self.spark.table(self.table).filter(F.col(PROCESSOR) == self.processor)
         if not spans:
             return rows.select(PROCESSOR, "height", "hash", "timestamp").limit(0)
-        own = rows.filter(F.col(VERSION).isin([s.version for s in spans]))
-        files: dict[int, list[str]] = {}
-        for f in map(unquote, own.inputFiles()):
-            files.setdefault(int(f.rsplit("/", 2)[1].split("=", 1)[1]), []).append(f)
-        gone = [s.version for s in spans if s.version not in files]
+        files = [unquote(f) for f in rows.filter(F.col(VERSION).isin([s.version for s in spans])).inputFiles()]
+        there = {int(f.rsplit("/", 2)[1].split("=", 1)[1]) for f in files}
+        gone = [s.version for s in spans if s.version not in there]
         if gone:
             raise MissingVersion(f"registry versions {gone} of {self.processor} are gone")
-        parts = [
-            self.spark.read.schema(SCHEMA).parquet(*files[s.version]).filter(F.col("height").between(s.low, s.top))
-            for s in spans
-        ]
-        found = parts[0]
-        for part in parts[1:]:
-            found = found.unionByName(part)
+        valid = F.lit(False)
+        for s in spans:
+            valid = valid | ((F.col(SINCE) == s.version) & F.col("height").between(s.low, s.top))
+        found = self.spark.read.schema(SCHEMA).parquet(*files).filter(valid)
         return found.select(F.lit(self.processor).alias(PROCESSOR), "height", "hash", "timestamp")
 
     def publish(
@@ -131,6 +127,7 @@ class RegistryLog:
             .observe(
                 bounds, F.min("height").alias("low"), F.max("height").alias("top"), F.max_by("hash", "height").alias("hash")
             )
+            .withColumn(SINCE, F.lit(version).cast("bigint"))
             .withColumn(PROCESSOR, F.lit(self.processor))
             .withColumn(VERSION, F.lit(version).cast("bigint"))
         )

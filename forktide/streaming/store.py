@@ -126,6 +126,9 @@ class ForkStore:
         self.location = location
         self._state = _State()
         self._cutoffs: dict[str, int] = {}
+        # What a process that stopped may have left behind: rows of an epoch in hot, of a move in cold.
+        self._unfinished_epoch = True
+        self._unfinished_moves = set(self.events)
         self._ops: list[tuple] = []
         self._log_of_blocks = RegistryLog(spark, self._name(REGISTRY), self.processor, self.options.registry_spans)
 
@@ -470,6 +473,7 @@ class ForkStore:
                 self._drain(head["low"] - 1)
             s = self._state
             epoch = s.epoch + 1
+            self._drop_epoch(epoch)
 
             def to_cold(t: tb.EventTable, rows: DataFrame) -> None:
                 fresh = rows.filter(F.col(t.height) > self._cutoffs[t.name])
@@ -550,6 +554,7 @@ class ForkStore:
                 progress=s.after(source, batch_id),
             )
             if head["n_blocks"] == 0:
+                self._drop_epoch(ahead.epoch)
                 self._save(ahead, None)
                 return
             fork_height = head["low"]
@@ -567,7 +572,7 @@ class ForkStore:
                 )
             tip = s.height if s.height > lowest else None
             if chain.fork_detected(tip, fork_height):
-                lost = registry.filter(F.col("height") >= fork_height).count()
+                lost = self._log_of_blocks.read(s.spans, fork_height).count()
                 self._log("fork_detected", ok=True, height=fork_height)
                 self._log("fork_executed", ok=True, height=fork_height - 1, amount=lost)
             elif tip is not None and fork_height > tip + 1:
@@ -587,6 +592,7 @@ class ForkStore:
                 )
 
             self._drop_epoch(ahead.epoch)
+            self._unfinished_epoch = True
             published = self._write_all(
                 handler(batch.filter(new)),
                 ahead.epoch,
@@ -717,12 +723,14 @@ class ForkStore:
         as they were read, rebalanced only where that would leave ``many_files`` small ones.
         """
         name = self.cold_name(t.name)
-        leftovers = [
-            p
-            for p in tb.partitions_of(self.spark, name, processor_id=self.processor)
-            if int(p[MOVE]) > self._cutoffs[t.name]
-        ]
-        tb.drop_partitions(self.spark, name, leftovers)
+        if t.name in self._unfinished_moves:
+            leftovers = [
+                p
+                for p in tb.partitions_of(self.spark, name, processor_id=self.processor)
+                if int(p[MOVE]) > self._cutoffs[t.name]
+            ]
+            tb.drop_partitions(self.spark, name, leftovers)
+        self._unfinished_moves.add(t.name)
         placed = rows.withColumn(MONTH, t.month()).withColumn(MOVE, F.lit(move).cast("bigint"))
         if many_files and not t.key:
             placed = placed.hint("rebalance", MONTH)
@@ -747,6 +755,7 @@ class ForkStore:
         self._append_row(row, self._cold_status_name)
         if month is None:
             self._cutoffs.update({n: max(height, self._cutoffs.get(n, -1)) for n in names})
+            self._unfinished_moves.difference_update(names)
 
     def _save(self, new: _State, parent: str | None) -> None:
         """Append the status row (R11): the commit point of the epoch.
@@ -792,6 +801,7 @@ class ForkStore:
             ]
             tb.drop_partitions(self.spark, self._status_name, old)
         self._state = new
+        self._unfinished_epoch = False
 
     def _append_row(self, row: Mapping[str, Column], table: str) -> None:
         tb.append_rows(self.spark.range(0, 1, 1, 1).select(*[c.alias(n) for n, c in row.items()]), table)
@@ -805,6 +815,8 @@ class ForkStore:
 
     def _drop_epoch(self, epoch: int) -> None:
         """Rows of an epoch that was started before but never committed."""
+        if not self._unfinished_epoch:
+            return
         for name in map(self.hot_name, self.events):
             stale = [
                 p
