@@ -82,3 +82,10 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
     if _trimmer() is not None:
         _trimmer()(0)
+
+
+def free_names(*frames: DataFrame, n: int) -> list[str]:
+    """Column names that none of the frames has, however case is treated."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    names = (f"_own{i}" for i in range(len(taken) + n))
+    return [c for c in names if c not in taken][:n]

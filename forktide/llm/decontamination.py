@@ -29,6 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forktide.llm.common import free_names
+
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 6), (0, 2, 3, 6, 8))
 MIN_WORDS = 10
 MIN_SHARE = 0.75
@@ -275,5 +277,6 @@ def clean(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", by_share: bool = False
 ) -> DataFrame:
     """Rows of ``docs`` without the documents that hold a benchmark passage."""
-    leaked = overlaps(docs, items, key, text, by_share=by_share).select(F.col(key).alias("_leaked")).distinct()
-    return docs.join(leaked, F.col(key).eqNullSafe(F.col("_leaked")), "left_anti")
+    (name,) = free_names(docs, n=1)
+    leaked = overlaps(docs, items, key, text, by_share=by_share).select(F.col(key).alias(name)).distinct()
+    return docs.join(leaked, F.col(key).eqNullSafe(F.col(name)), "left_anti")

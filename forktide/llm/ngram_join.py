@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forktide.llm.common import give_back, stored
+from forktide.llm.common import free_names, give_back, stored
 from forktide.llm.components import components
 from forktide.llm.fingerprints import with_shingle_hashes
 
@@ -293,7 +293,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """Rows of ``docs``, one of each class: the one with the smallest key (then hash of its text)."""
     found = links(docs, key, text)
     kept = found.groupBy("_class").agg(F.min(F.struct(F.col(key).isNull(), key, "_row")).alias("k"))
-    kept = kept.select(F.col(f"k.{key}").alias("_kept"), F.col("k._row").alias("_kept_row"))
-    rows = docs.withColumn("_own", F.xxhash64(text))
-    same = F.col(key).eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_kept_row"))
-    return rows.join(kept, same).dropDuplicates([key, "_own"]).select(*docs.columns)
+    name, row, own = free_names(docs, n=3)
+    kept = kept.select(F.col(f"k.{key}").alias(name), F.col("k._row").alias(row))
+    rows = docs.withColumn(own, F.xxhash64(text))
+    same = F.col(key).eqNullSafe(F.col(name)) & (F.col(own) == F.col(row))
+    return rows.join(kept, same).dropDuplicates([key, own]).select(*docs.columns)

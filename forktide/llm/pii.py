@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forktide.llm import boosting
-from forktide.llm.common import stored
+from forktide.llm.common import free_names, stored
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.99
@@ -330,14 +330,16 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     value = F.coalesce(F.col(text), F.lit(""))
     found = proposals(docs, key, text)
     spans = select(found, learn(found)).filter(F.size("spans") > 0)
+    # Names that no column of ``docs`` has.
+    k, r, own, kept = free_names(docs, n=4)
     spans = spans.select(
-        F.col("_key").alias("_k"), F.col("_row").alias("_r"), F.col("spans").alias("_spans")
-    ).dropDuplicates(["_k", "_r"])
-    rows = docs.withColumn("_own", F.xxhash64(text))
-    joined = rows.join(spans, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_r")), "left")
+        F.col("_key").alias(k), F.col("_row").alias(r), F.col("spans").alias(kept)
+    ).dropDuplicates([k, r])
+    rows = docs.withColumn(own, F.xxhash64(text))
+    joined = rows.join(spans, F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_start = F.array_sort(
-        F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+        F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -349,4 +351,4 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     whole = F.aggregate(
         by_start, start, step, lambda a: F.concat(a["out"], F.substring(value, a["at"] + 1, F.length(value)))
     )
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(whole)).select(*docs.columns)
+    return joined.withColumn(text, F.when(F.col(kept).isNull(), F.col(text)).otherwise(whole)).select(*docs.columns)

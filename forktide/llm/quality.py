@@ -204,7 +204,9 @@ def _group_logits(texts: list[bytes], net: Network) -> list[np.ndarray]:
         spans = chunks_of(len(t))
         sizes.append(len(spans))
         for a, b in spans:
-            cuts += [(start + a) // POOL, max((start + a) // POOL + 1, (start + b - CHUNK // 8) // POOL)]
+            first = (start + a) // POOL
+            # As many steps as in training: the last one ends with the chunk's last bytes.
+            cuts += [first, first + max(1, -(-(b - a) // POOL) - STEPS + 1)]
     z2 = np.concatenate([z2, np.full((2 * STEPS, TOP), -np.inf, np.float32)])
     a2 = np.maximum(np.maximum.reduceat(z2, cuts, axis=0)[0::2], 0)
     logits = a2 @ net.out + net.out_bias

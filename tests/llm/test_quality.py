@@ -33,7 +33,7 @@ def test_tables_give_the_answers_of_the_trainer(monkeypatch):
     a = np.maximum(z.reshape(-1, q.POOL, q.FILTERS).max(1), 0)
     deep = [sum(a[i + o] @ trainer.p["w2"][o] for o in range(q.STEPS)) + trainer.p["b2"] for i in range(len(a) - q.STEPS)]
     got = q.chunk_logits([text], net)[0]
-    last = max(1, (len(text) - q.CHUNK // 8) // q.POOL)
+    last = max(1, -(-len(text) // q.POOL) - q.STEPS + 1)
     want = np.maximum(np.max(deep[:last], 0), 0) @ trainer.p["w3"] + trainer.p["b3"]
     assert abs(got[0] - want[0]) < 1e-3
     # Long texts in pieces, and texts beside others, score alike.
@@ -43,6 +43,31 @@ def test_tables_give_the_answers_of_the_trainer(monkeypatch):
     assert np.allclose(q.chunk_logits([long], net)[0][1:-1], whole[1:-1], atol=1e-2)
 
 
+def test_every_byte_reaches_the_answer():
+    r = np.random.default_rng(0)
+    net = q.Trainer(5).network(np.zeros(4))
+
+    def wild():
+        shapes = {f: np.shape(getattr(net, f)) for f in net.__dataclass_fields__}
+        return type(net)(**{f: r.normal(size=s).astype(np.float32) if s else 0.0 for f, s in shapes.items()})
+
+    nets = [wild() for _ in range(6)]
+    for n in (1, 20, 79, 511, 512, 513, 960, 1_003):
+        text = b"a" * n
+        own = [q.chunk_logits([text], w)[0] for w in nets]
+        # In an even text a changed byte shows as soon as it raises one filter of one network.
+        silent = [
+            i
+            for i in range(max(0, n - 24), n)
+            if all(
+                (q.chunk_logits([text[:i] + bytes([c]) + text[i + 1 :]], w)[0] == o).all()
+                for w, o in zip(nets, own)
+                for c in (33, 65, 90, 200, 10, 48, 255, 122)
+            )
+        ]
+        assert not silent, (n, silent)
+
+
 def test_held_out_accuracy(documents, spark, monkeypatch):
     monkeypatch.setattr(q, "ROUNDS", 80)
     texts = [junk(i, 60) if i % 2 else prose(i, 60) for i in range(200)]
