@@ -378,6 +378,27 @@ def removed_from_zones(spark: SparkSession, sf: str) -> DataFrame:
     return by_type(store.visible("events"))
 
 
+@query(
+    "removed_under_reader",
+    feed_sql(f"""
+SELECT opened, event_type, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM rows_ JOIN canon USING (height, hash), (VALUES ('before'), ('after')) AS t(opened)
+WHERE opened = 'before' OR NOT ({REMOVED_SQL}) GROUP BY opened, event_type"""),
+)
+def removed_under_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader opened before a removal sees all rows as they were, one opened after it the rest."""
+    store = open_store(spark, "reader", auto_migrate=False, hold_to_finality=False)
+    store.apply(feed(spark, sf), as_events, "feed", 0)
+    store.migrate(store.head_height // 2)
+    before = store.visible("events")
+    store.remove("events", F.expr(REMOVED_SQL))
+    parts = [
+        by_type(rows).select(F.lit(opened).alias("opened"), "*")
+        for opened, rows in (("before", before), ("after", store.visible("events")))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "flushed_tables",
     "SELECT event_type AS entity, count(*) AS n FROM events GROUP BY event_type",

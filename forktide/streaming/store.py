@@ -32,6 +32,8 @@ from forktide.streaming.registry_log import MissingVersion, RegistryLog, Span
 Handler = Callable[[DataFrame], Mapping[str, DataFrame]]
 
 ERA = 256
+# Between the numbers of a partition's versions; beyond any height.
+TURN = 1 << 40
 REGISTRY = "valid_blocks"
 OPS_LOG = "ops_log"
 MOVED, COMPACTED = "move", "compact"
@@ -64,7 +66,8 @@ class StoreOptions:
     hold_to_finality: bool = True
     log_operations: bool = True
     parallel_writes: int = 4
-    # Registry versions stay this long after they were replaced, for readers that began before.
+    # Registry versions and months of cold stay this long after they were replaced, for readers that
+    # began before.
     keep_versions_ms: int = 3_600_000
     # Changes of the registry that are read together before it is written as a whole again.
     registry_spans: int = 32
@@ -98,6 +101,8 @@ class _State:
     registry_version: int = 0
     spans: tuple[Span, ...] = ()
     at_head: bool = False
+    # Hot partitions that were written anew: table, epoch, top height, number of the one that counts.
+    rewrites: tuple[tuple[str, int, int, int], ...] = ()
     blocks_since: int = 0
     progress: tuple[tuple[str, int], ...] = ()
 
@@ -129,6 +134,7 @@ class ForkStore:
         # What a process that stopped may have left behind: rows of an epoch in hot, of a move in cold.
         self._unfinished_epoch = True
         self._unfinished_moves = set(self.events)
+        self._replaced: dict[tuple[str, str, str], float] = {}
         self._ops: list[tuple] = []
         self._log_of_blocks = RegistryLog(spark, self._name(REGISTRY), self.processor, self.options.registry_spans)
 
@@ -177,11 +183,11 @@ class ForkStore:
             "height bigint, hash string, parent_hash string, hot_blocks string, "
             "finalized_height bigint, finalized_hash string, timestamp timestamp, "
             "last_run bigint, epoch bigint, registry_version bigint, registry_spans string, "
-            "at_head boolean, blocks_since bigint, progress string"
+            "hot_rewrites string, at_head boolean, blocks_since bigint, progress string"
         )
         cold = (
             "height bigint, hash string, timestamp timestamp, tables array<string>, kind string, "
-            "month string, epoch bigint"
+            "month string, part bigint, epoch bigint"
         )
         for name, columns, by in (
             (self._status_name, status, "id string, era bigint"),
@@ -249,7 +255,7 @@ class ForkStore:
             F.max_by(
                 F.struct(
                     "epoch", "height", "hash", "finalized_height", "finalized_hash",
-                    "registry_version", "registry_spans", "at_head", "blocks_since", "progress",
+                    "registry_version", "registry_spans", "hot_rewrites", "at_head", "blocks_since", "progress",
                 ),
                 "epoch",
             ).alias("s")
@@ -260,6 +266,7 @@ class ForkStore:
             return _State()
         values = row.asDict()
         values["spans"] = registry_log.from_text(values.pop("registry_spans"))
+        values["rewrites"] = tuple(tuple(r) for r in json.loads(values.pop("hot_rewrites")))
         values["progress"] = tuple(sorted(json.loads(values["progress"]).items()))
         return _State(**values)
 
@@ -282,17 +289,19 @@ class ForkStore:
             F.min("height").alias("height"), F.min_by("hash", F.struct("height", "t")).alias("hash")
         )
 
-    def _read_commits(self) -> tuple[dict[str, int], dict[tuple[str, str], int]]:
-        """Committed cutoff per table (-1 before the first move), and compacted months."""
+    def _read_commits(self) -> tuple[dict[str, int], dict[tuple[str, str], tuple[int, int]]]:
+        """Committed cutoff per table (-1 before the first move), and months written anew: the height
+        they reach and the number of the partition that holds them."""
         found = (
             self._commits()
-            .select("kind", "month", "height", F.explode("tables").alias("t"))
+            .select("kind", "month", "height", "part", F.explode("tables").alias("t"))
             .groupBy("kind", "month", "t")
-            .agg(F.max("height").alias("height"))
+            .agg(F.max(F.struct("height", "part")).alias("last"))
+            .select("kind", "month", "t", "last.height", "last.part")
             .collect()
         )
         moved = {r["t"]: r["height"] for r in found if r["kind"] == MOVED}
-        compacted = {(r["t"], r["month"]): r["height"] for r in found if r["kind"] == COMPACTED}
+        compacted = {(r["t"], r["month"]): (r["height"], r["part"]) for r in found if r["kind"] == COMPACTED}
         return {t: moved.get(t, -1) for t in self.events}, compacted
 
     def _load(self) -> None:
@@ -362,7 +371,7 @@ class ForkStore:
         s = self._read_state()
         cutoffs, compacted = self._read_commits()
         cutoff = cutoffs[table]
-        hot = self._committed_hot(t, s).filter(F.col(TOP) > cutoff).filter(F.col(t.height) > cutoff)
+        hot = self._committed_hot(t, s, cutoff).filter(F.col(t.height) > cutoff)
         blocks_above = self._log_of_blocks.read(s.spans, cutoff + 1)
         hot = visible.registered_rows(
             hot,
@@ -387,15 +396,23 @@ class ForkStore:
             t.height,
         )
 
-    def _committed_hot(self, t: tb.EventTable, s: _State) -> DataFrame:
+    def _committed_hot(self, t: tb.EventTable, s: _State, above: int = -1) -> DataFrame:
+        """Hot partitions that are committed and reach above a height: a static partition filter.
+
+        A partition written anew has a negative number and counts once the status row names it,
+        instead of the one it replaces.
+        """
         name = self.hot_name(t.name)
         self.spark.catalog.refreshTable(name)
-        return self.spark.table(name).filter(
-            (F.col(PROCESSOR) == self.processor) & (F.col(EPOCH) <= s.epoch)
-        )
+        chosen = F.col(TOP) > above
+        for table, epoch, top, part in s.rewrites:
+            if table == t.name and top > above:
+                own = F.col(EPOCH) == epoch
+                chosen = (chosen & ~(own & (F.col(TOP) == top))) | (own & (F.col(TOP) == -part))
+        return self.spark.table(name).filter((F.col(PROCESSOR) == self.processor) & (F.col(EPOCH) <= s.epoch) & chosen)
 
     def _committed_cold(
-        self, t: tb.EventTable, cutoff: int, compacted: Mapping[tuple[str, str], int]
+        self, t: tb.EventTable, cutoff: int, compacted: Mapping[tuple[str, str], tuple[int, int]]
     ) -> DataFrame:
         """Cold partitions that are committed: a static partition filter.
 
@@ -405,12 +422,12 @@ class ForkStore:
         name = self.cold_name(t.name)
         self.spark.catalog.refreshTable(name)
         month, move = F.col(MONTH), F.col(MOVE)
-        done = {m: upto for (table, m), upto in compacted.items() if table == t.name}
+        done = {m: last for (table, m), last in compacted.items() if table == t.name}
         chosen = (move >= 0) & (move <= cutoff)
         if done:
             chosen = chosen & ~month.isin(list(done))
-        for m, upto in done.items():
-            newer = (move == -upto) | ((move > upto) & (move <= cutoff))
+        for m, (upto, part) in done.items():
+            newer = (move == -part) | ((move > upto) & (move <= cutoff))
             chosen = chosen | ((month == m) & newer)
         return self.spark.table(name).filter((F.col(PROCESSOR) == self.processor) & chosen)
 
@@ -739,7 +756,8 @@ class ForkStore:
         )
 
     def _commit_cold(
-        self, height: int, hash: str, names: Sequence[str], epoch: int, month: str | None = None
+        self, height: int, hash: str, names: Sequence[str], epoch: int, month: str | None = None,
+        part: int | None = None,
     ) -> None:
         """Append a cold-status row (R12): the commit point of a move, or of a month's compaction."""
         row = {
@@ -749,6 +767,7 @@ class ForkStore:
             "tables": F.array(*[F.lit(n) for n in names]),
             "kind": F.lit(MOVED if month is None else COMPACTED),
             "month": F.lit(month).cast("string"),
+            "part": F.lit(part).cast("bigint"),
             "epoch": F.lit(epoch).cast("bigint"),
             "id": F.lit(self.processor),
         }
@@ -766,6 +785,8 @@ class ForkStore:
         """
         now = int(time.time() * 1000)
         era = new.epoch // ERA
+        # What lies below every cutoff is read from cold.
+        new = replace(new, rewrites=tuple(r for r in new.rewrites if r[2] > self._lowest_cutoff()))
         from_ = max(new.finalized_height, new.height - CHAIN_TAIL) + 1
         tail = F.array_sort(F.collect_list(F.struct("height", "hash")))
         hot_chain = self._log_of_blocks.read(new.spans, from_).agg(blocks.blocks_json(tail).alias("hot_blocks"))
@@ -781,6 +802,7 @@ class ForkStore:
             F.lit(new.epoch).cast("bigint").alias("epoch"),
             F.lit(new.registry_version).cast("bigint").alias("registry_version"),
             F.lit(registry_log.to_text(new.spans)).alias("registry_spans"),
+            F.lit(json.dumps(new.rewrites)).alias("hot_rewrites"),
             F.lit(new.at_head).alias("at_head"),
             F.lit(new.blocks_since).cast("bigint").alias("blocks_since"),
             F.lit(json.dumps(dict(new.progress))).alias("progress"),
@@ -901,7 +923,7 @@ class ForkStore:
 
     def _move_table(self, t: tb.EventTable, registry: DataFrame, cutoff: int) -> migration.TableMove:
         last = self._cutoffs[t.name]
-        hot = self._committed_hot(t, self._state).filter(F.col(TOP) > last)
+        hot = self._committed_hot(t, self._state, last)
         moving = migration.rows_to_move(
             hot,
             last,
@@ -945,7 +967,7 @@ class ForkStore:
             gone = [
                 p
                 for p in tb.partitions_of(self.spark, name, processor_id=self.processor)
-                if int(p[TOP]) <= settled
+                if _real_top(int(p[TOP])) <= settled
             ]
             tb.drop_partitions(self.spark, name, gone)
 
@@ -980,9 +1002,14 @@ class ForkStore:
     def compact_cold(self, table: str, month: str) -> int | None:
         """Merge the committed moves of one month into one; returns the height it reaches.
 
-        The merged partition has a negative move number, which readers ignore until the commit row
-        naming it is there; the merged parts are dropped by the next compaction of the month.
+        The merged partition has a negative number, which readers ignore until the commit row naming it
+        is there; the merged parts are dropped by a compaction ``keep_versions_ms`` later.
         """
+        done = self._read_commits()[1].get((table, month))
+        return self._rewrite_month(table, month) or (done[0] if done else None)
+
+    def _rewrite_month(self, table: str, month: str, keep: Column | None = None) -> int | None:
+        """One new partition for a month of cold, of the rows under ``keep``; None if nothing is new."""
         t = self.events[table]
         cutoff = self._cutoffs[table]
         name = self.cold_name(table)
@@ -992,23 +1019,37 @@ class ForkStore:
             if p[MONTH] == month
         ]
         compacted = self._read_commits()[1]
-        done = compacted.get((table, month))
+        done, part = compacted.get((table, month), (0, 0))
         moves = [int(p[MOVE]) for p in parts]
-        fresh = [m for m in moves if (done or 0) < m <= cutoff]
-        if cutoff <= 0 or not fresh:
-            return done
-        upto = max(fresh)
-        live = [m for m in moves if m == -(done or 0) or m in fresh]
-        dead = [p for p in parts if int(p[MOVE]) not in live and int(p[MOVE]) <= cutoff]
-        tb.drop_partitions(self.spark, name, dead)
+        fresh = [m for m in moves if done < m <= cutoff]
+        if cutoff <= 0 or not (fresh or (keep is not None and part)):
+            return None
+        upto = max(fresh, default=done)
+        live = [m for m in moves if m == -part or m in fresh]
+        self._drop_replaced(table, [p for p in parts if int(p[MOVE]) not in live and int(p[MOVE]) <= cutoff])
+        # A number of its own: the height it reaches, and how often it was written since.
+        new = upto if fresh else part + TURN
         rows = self._committed_cold(t, cutoff, compacted).filter(F.col(MONTH) == month)
-        merged = rows.withColumn(MOVE, F.lit(-upto).cast("bigint"))
+        if keep is not None:
+            rows = rows.filter(keep)
+        merged = rows.withColumn(MOVE, F.lit(-new).cast("bigint"))
         tb.overwrite_partitions(
             merged.hint("rebalance", MONTH).sortWithinPartitions(*t.write_order()), name
         )
-        self._commit_cold(upto, "", [table], self._state.epoch, month)
+        self._commit_cold(upto, "", [table], self._state.epoch, month, new)
+        self._drop_replaced(table, [p for p in parts if int(p[MOVE]) in live])
         return upto
 
+    def _drop_replaced(self, table: str, parts: Sequence[dict[str, str]]) -> None:
+        """Drop cold partitions that were replaced ``keep_versions_ms`` ago, as far as this process knows."""
+        now, old = time.monotonic(), []
+        for p in parts:
+            since = self._replaced.setdefault((table, p[MONTH], p[MOVE]), now)
+            if (now - since) * 1000 >= self.options.keep_versions_ms:
+                old.append(p)
+                del self._replaced[table, p[MONTH], p[MOVE]]
+        tb.drop_partitions(self.spark, self.cold_name(table), old)
+
     # ---- clearing ------------------------------------------------------------------------------
 
     def clear_hot(self, height: int, hash: str) -> None:
@@ -1029,6 +1070,7 @@ class ForkStore:
             finalized_hash=hash,
             registry_version=self._state.epoch + 1,
             spans=(),
+            rewrites=(),
             at_head=False,
             blocks_since=0,
         )
@@ -1041,20 +1083,52 @@ class ForkStore:
     def remove(self, table: str, condition: Column) -> int:
         """Remove this processor's matching rows from both zones, or from a snapshot (D-1, D-2).
 
-        Only partitions with a matching row are rewritten or dropped. Each zone is one rewrite; when
-        stopped in between, calling it again finishes the work. Readers see the removal at once.
-        Returns how many stored rows went, orphans included.
+        Partitions with a match are written anew, without the rows, beside the old ones. Months of cold
+        are committed one by one by their commit rows, all of hot by one status row. Replaced partitions
+        stay for readers that began before: of cold for ``keep_versions_ms``, after which the next
+        rewrite of the month drops them, of hot until their epoch is reclaimed. When stopped in between, calling it again finishes the work. Returns how
+        many committed rows went, orphans included.
         """
         if table in self.snapshots:
             name = self._name(self.snapshots[table].table(self.options.network))
             n = tb.delete_where(self.spark, name, condition)
         else:
-            own = condition & (F.col(PROCESSOR) == self.processor)
-            n = sum(tb.delete_where(self.spark, name, own) for name in (self.hot_name(table), self.cold_name(table)))
+            doomed = F.coalesce(condition, F.lit(False))
+            n = self._remove_cold(self.events[table], doomed) + self._remove_hot(self.events[table], doomed)
         self._log("remove", ok=True, table=table, amount=n)
         self._flush_log()
         return n
 
+    def _remove_cold(self, t: tb.EventTable, doomed: Column) -> int:
+        rows = self._committed_cold(t, self._cutoffs[t.name], self._read_commits()[1])
+        # One row per month with a match.
+        touched = rows.filter(doomed).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in touched:
+            self._rewrite_month(t.name, r[MONTH], ~doomed)
+        return sum(r["n"] for r in touched)
+
+    def _remove_hot(self, t: tb.EventTable, doomed: Column) -> int:
+        s = self._state
+        rows = self._committed_hot(t, s, self._cutoffs[t.name])
+        # One row per unsettled epoch with a match.
+        touched = rows.filter(doomed).groupBy(EPOCH, TOP).agg(F.count(F.lit(1)).alias("n")).collect()
+        if not touched:
+            return 0
+        schema = f"{EPOCH} bigint, {TOP} bigint"
+        own = self.spark.createDataFrame([(r[EPOCH], r[TOP]) for r in touched], schema)
+        kept = rows.join(F.broadcast(own), [EPOCH, TOP], "left_semi").filter(~doomed)
+        again = F.when(F.col(TOP) < 0, F.col(TOP) - TURN).otherwise(-F.col(TOP) - 1)
+        self._drop_epoch(s.epoch + 1)
+        tb.overwrite_partitions(
+            kept.withColumn(TOP, again).sortWithinPartitions(PROCESSOR, EPOCH, TOP, *t.write_order()),
+            self.hot_name(t.name),
+        )
+        new = {(r[EPOCH], _real_top(r[TOP])): -(r[TOP] - TURN if r[TOP] < 0 else -r[TOP] - 1) for r in touched}
+        old = [r for r in s.rewrites if r[0] != t.name or (r[1], r[2]) not in new]
+        rewrites = (*old, *((t.name, epoch, top, part) for (epoch, top), part in sorted(new.items())))
+        self._save(replace(s, epoch=s.epoch + 1, rewrites=rewrites), None)
+        return sum(r["n"] for r in touched)
+
     # ---- operations log --------------------------------------------------------------------------
 
     def _log(
@@ -1093,5 +1167,10 @@ def _observed(metrics: Observation) -> dict | None:
         return None
 
 
+def _real_top(number: int) -> int:
+    """The top height of a hot partition, whether written once or anew."""
+    return number if number >= 0 else -number % TURN - 1
+
+
 def _ms(started: float) -> int:
     return int((time.time() - started) * 1000)

@@ -384,6 +384,87 @@ def test_compaction_merges_the_moves_of_a_month(spark, monkeypatch):
     assert {p["mig"] for p in moves if int(p["mig"]) < 0} >= {"-39"}
 
 
+# ---- removals --------------------------------------------------------------------------------------
+
+
+def two_zones(spark, **options):
+    store = new_store(spark, hold_to_finality=False, **options)
+    store.apply_final(batch(spark, blocks(0, 9)), to_events, "s", 0)
+    for n in range(3):
+        store.apply_hot(batch(spark, blocks(10 + 5 * n, 14 + 5 * n, seq=50 + 10 * n)), to_events, "s", n + 1)
+    store.migrate(14)
+    return store
+
+
+def without(chain, gone):
+    return [r for r in expected(chain) if not gone(r[2])]
+
+
+def test_removals_are_committed_and_leave_old_readers_alone(spark):
+    store = two_zones(spark)
+    held = store.visible("test_events")
+    assert store.remove("test_events", F.col("id") % 20 == 0) == 13
+    want = without(chain_of(0, 24), lambda i: i % 20 == 0)
+    assert seen(store) == want == seen(again(spark, store))
+    assert store.remove("test_events", F.col("id") % 20 == 0) == 0, "nothing is left to remove"
+    second = store.visible("test_events")
+    assert store.remove("test_events", F.col("id") == 31) == 1 and store.remove("test_events", F.col("id") == 211) == 1
+    assert sorted(r["id"] for r in held.collect()) == [i for *_, i in expected(chain_of(0, 24))]
+    assert sorted(r["id"] for r in second.collect()) == [i for *_, i in want]
+    want = [r for r in want if r[2] not in (31, 211)]
+    assert seen(store) == want
+    # What was removed stays removed through forks, moves and compactions.
+    store.apply_hot(batch(spark, blocks(23, 30, "b", 200)), to_events, "s", 9)
+    want = [r for r in want if r[0] < 23] + expected(chain_of(23, 30, "b"))
+    assert seen(store) == want
+    assert store.migrate(22).cutoff_height == 22 and seen(store) == want
+    store.compact_cold("test_events", "202401")
+    assert seen(store) == want
+    assert store.migrate(27).cutoff_height == 27 and seen(again(spark, store)) == want
+    assert store._state.rewrites == () or min(r[2] for r in store._state.rewrites) > 14
+    store.remove("test_events", F.col("height") < 20)
+    assert seen(store) == [r for r in want if r[0] >= 20]
+    hot = tb.partitions_of(spark, store.hot_name("test_events"), processor_id="default")
+    assert all(int(p["epoch"]) > 3 for p in hot), "old epochs and what replaced them are reclaimed"
+
+
+@pytest.mark.parametrize("step", ["_commit_cold", "_remove_hot", "_save"])
+def test_crash_inside_a_removal(spark, monkeypatch, step):
+    store = two_zones(spark)
+    gone = F.col("id") % 20 == 0
+    with monkeypatch.context() as m:
+        m.setattr(store, step, stop)
+        with pytest.raises(Stop):
+            store.remove("test_events", gone)
+    cold_done = step != "_commit_cold"
+    partly = without(chain_of(0, 24), lambda i: i % 20 == 0 and cold_done and i < 150)
+    assert seen(store) == partly, "a zone is changed as a whole or not at all"
+    back = again(spark, store)
+    assert seen(back) == partly
+    back.remove("test_events", gone)
+    assert seen(back) == without(chain_of(0, 24), lambda i: i % 20 == 0)
+    back.apply_hot(batch(spark, blocks(25, 26, seq=300)), to_events, "s", 9)
+    assert seen(back) == without(chain_of(0, 24), lambda i: i % 20 == 0) + expected(chain_of(25, 26))
+
+
+def test_replaced_months_go_after_a_while(spark):
+    store = two_zones(spark, keep_versions_ms=0)
+    store.remove("test_events", F.col("id") == 31)
+    store.remove("test_events", F.col("id") == 41)
+    assert seen(store) == without(chain_of(0, 24), lambda i: i in (31, 41))
+    cold = tb.partitions_of(spark, store.cold_name("test_events"), processor_id="default")
+    assert len(cold) == 1 and int(cold[0]["mig"]) < 0
+
+
+def test_removal_keeps_the_newest_row_of_a_key(spark):
+    store = new_store(spark)
+    store.apply_hot(batch(spark, blocks(1, 3)), to_events, "s", 0)
+    store.apply_hot(batch(spark, blocks(2, 4, "b", 10)), to_events, "s", 1)
+    store.apply_hot(batch(spark, blocks(2, 3, "a", 20)), to_events, "s", 2)
+    store.remove("test_events", F.col("id") == 10)
+    assert seen(store) == [r for r in expected(chain_of(1, 3)) if r[2] != 10]
+
+
 # ---- phases ----------------------------------------------------------------------------------------
 
 
