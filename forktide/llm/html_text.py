@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -60,6 +61,13 @@ DROPPED_WORDS = set(
     "header masthead comment comments reply replies respond disqus login signin signup search toolbar "
     "pagination pager paging skip outbrain taboola".split()
 )
+# What may be put around a whole page, and words of what readers write, which never is.
+FRAMES = {"form", "fieldset", "search"}
+READERS = set("comment comments reply replies respond disqus".split())
+KEPT, HINT, SURELY = 0, 1, 2
+# A part that is left out by a hint is a frame of the page if it holds so much of the text outside links
+# while so little is left without it.
+FRAME_SHARE, LEFT_SHARE = 0.8, 0.1
 # A new one of these ends an open one of the second set, up to the element that holds them.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -83,51 +91,66 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Element:
-    __slots__ = ("name", "dropped", "start", "end", "up", "inside_main")
+    __slots__ = ("name", "dropped", "start", "end", "up", "inside_main", "out")
 
-    def __init__(self, name: str, dropped: bool, start: int, up: _Element | None, inside_main: bool):
+    def __init__(self, name: str, dropped: int, start: int, up: _Element | None, inside_main: bool):
         self.name, self.dropped, self.start, self.end, self.up = name, dropped, start, -1, up
         self.inside_main = inside_main
+        self.out: bool | None = None  # whether it or an element around it is left out, once known
 
 
 class _Line:
-    __slots__ = ("parts", "linked", "element")
+    __slots__ = ("parts", "linked", "element", "start")
 
-    def __init__(self, element: _Element):
+    def __init__(self, element: _Element, start: int):
         self.parts: list[str] = []
         self.linked = 0
         self.element = element
+        self.start = start
 
 
-def _is_dropped(name: str, attributes: str, inside_main: bool) -> bool:
+def _is_dropped(name: str, attributes: str, inside_main: bool) -> int:
+    """Whether an element is left out: KEPT, by a HINT of its name or words, or SURELY."""
     if name in ("html", "body") or name in MAIN:
-        return False
+        return KEPT
     if name in DROPPED or (name == "header" and not inside_main):
-        return True
+        return HINT if name in FRAMES else SURELY
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return KEPT
+    found = KEPT
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id"):
             words = {w.lower() for w in WORD.findall(value)}
             if words & DROPPED_WORDS and not (words & {"header"} == words & DROPPED_WORDS and inside_main):
-                return True
+                found = max(found, SURELY if words & READERS else HINT)
         elif key == "role" and value.lower() in ROLES:
-            return True
+            found = max(found, HINT if value.lower() in FRAMES else SURELY)
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return SURELY
         elif key == "style" and HIDDEN.search(value):
-            return True
-    return False
+            return SURELY
+    return found
 
 
 def lines_of(html: str) -> tuple[list[_Line], list[int]]:
     """Lines of a page, and the positions at which its article elements begin."""
-    root = _Element("", False, 0, None, False)
+    root = _Element("", KEPT, 0, None, False)
     here, links = root, 0
-    line = _Line(root)
+    line = _Line(root, 0)
     lines, mains = [line], []
     at = 0
+    open_names: Counter[str] = Counter()
+    never_closed: set[str] = set()
+
+    def end_upto(outer: _Element, place: int) -> None:
+        """End the open elements inside ``outer``."""
+        nonlocal here, links
+        while here is not outer:
+            here.end = place
+            links -= here.name == "a"
+            open_names[here.name] -= 1
+            here = here.up
 
     def text(piece: str) -> None:
         if piece:
@@ -147,36 +170,35 @@ def lines_of(html: str) -> tuple[list[_Line], list[int]]:
             continue
         name = name.lower()
         if closing:
-            open_one = here
+            open_one = here if open_names[name] > 0 else None
             while open_one is not None and open_one.name != name:
                 open_one = open_one.up
             if open_one is not None and open_one.name and not (
                 name not in BLOCKS and any(e.name in BLOCKS for e in _between(here, open_one))
             ):
-                while True:
-                    here.end = m.start()
-                    links -= here.name == "a"
-                    done, here = here is open_one, here.up
-                    if done:
-                        break
+                end_upto(open_one.up, m.start())
             if name in BLOCKS:
-                line = _Line(here)
+                line = _Line(here, m.start())
                 lines.append(line)
             elif name in SPACED:
                 text(" ")
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(html, at)
+            end = None
+            if name not in never_closed:
+                end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(html, at)
             if end:
                 at = end.end()
             elif name not in ("svg", "math", "object", "iframe", "noscript", "template"):
                 at = len(html)
+            else:
+                never_closed.add(name)
             continue
         if name in SPACED:
             text(" ")
         if name in VOID:
             if name in BLOCKS:
-                line = _Line(here)
+                line = _Line(here, m.start())
                 lines.append(line)
             continue
         if name in BLOCKS:
@@ -184,10 +206,7 @@ def lines_of(html: str) -> tuple[list[_Line], list[int]]:
             probe = here
             while probe.name and (probe.name not in BLOCKS or probe.name == "p"):
                 if probe.name == "p" or probe.name == "a":
-                    while here is not probe.up:
-                        here.end = m.start()
-                        links -= here.name == "a"
-                        here = here.up
+                    end_upto(probe.up, m.start())
                     if probe.name == "p":
                         break
                 probe = probe.up
@@ -196,10 +215,7 @@ def lines_of(html: str) -> tuple[list[_Line], list[int]]:
             probe = here
             while probe.name and probe.name not in holders:
                 if probe.name in siblings:
-                    while here is not probe.up:
-                        here.end = m.start()
-                        links -= here.name == "a"
-                        here = here.up
+                    end_upto(probe.up, m.start())
                     probe = here
                     continue
                 probe = probe.up
@@ -209,12 +225,13 @@ def lines_of(html: str) -> tuple[list[_Line], list[int]]:
         if not (m[0].endswith("/>") and name not in BLOCKS):
             here = _Element(name, _is_dropped(name, attributes, here.inside_main), m.start(), here, inside_main)
             links += name == "a"
+            open_names[name] += 1
         if name in BLOCKS:
-            line = _Line(here)
+            line = _Line(here, m.start())
             lines.append(line)
         elif here.dropped and here.name == name:
             # An inline element that is dropped, as a button, takes its text out of the line.
-            line = _Line(here)
+            line = _Line(here, m.start())
             lines.append(line)
     text(html[at:])
     return lines, mains
@@ -226,29 +243,67 @@ def _between(inner: _Element, outer: _Element) -> Iterator[_Element]:
         inner = inner.up
 
 
+def _frames(lines: list[_Line], mains: list[int]) -> None:
+    """Elements that hold the article, or next to all text of the page, are frames of it, not parts
+    beside it, whatever their names hint at."""
+    hinted: dict[int, _Element] = {}
+    seen: set[int] = set()
+    for line in lines:
+        e = line.element
+        while e is not None and id(e) not in seen:
+            seen.add(id(e))
+            if e.dropped:
+                k = bisect_left(mains, e.start)
+                if k < len(mains) and (e.end < 0 or mains[k] < e.end):
+                    e.dropped = KEPT
+                elif e.dropped == HINT:
+                    hinted[id(e)] = e
+            e = e.up
+    if not hinted:
+        return
+    plain = [0]
+    for line in lines:
+        size = len("".join(line.parts).strip()) - line.linked
+        plain.append(plain[-1] + max(size, 0))
+    starts = [line.start for line in lines]
+    total = plain[-1]
+    left = sum(b - a for line, a, b in zip(lines, plain, plain[1:]) if not _left_out(line.element))
+    if left >= LEFT_SHARE * total:
+        return
+    for e in hinted.values():
+        a = bisect_left(starts, e.start)
+        b = len(lines) if e.end < 0 else bisect_left(starts, e.end)
+        if plain[b] - plain[a] >= FRAME_SHARE * total:
+            e.dropped = KEPT
+    for line in lines:  # as it was found out above
+        e = line.element
+        while e is not None and e.out is not None:
+            e.out, e = None, e.up
+
+
+def _left_out(e: _Element) -> bool:
+    """Whether an element or one around it is left out."""
+    chain = []
+    while e is not None and e.out is None:
+        chain.append(e)
+        e = e.up
+    out = e is not None and e.out
+    for one in reversed(chain):
+        out = one.out = bool(out or one.dropped)
+    return bool(out)
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
     lines, mains = lines_of(html)
-    known: dict[int, bool] = {}
-
-    def excluded(e: _Element | None) -> bool:
-        if e is None:
-            return False
-        if id(e) not in known:
-            own = e.dropped
-            if own and mains:
-                # What holds the article is a frame of the page, not a part beside it.
-                k = bisect_left(mains, e.start)
-                own = not (k < len(mains) and (e.end < 0 or mains[k] < e.end))
-            known[id(e)] = own or excluded(e.up)
-        return known[id(e)]
+    _frames(lines, mains)
 
     found, inside, total = [], 0, 0
     for line in lines:
         clean = " ".join(unescape("".join(line.parts)).split()) if line.parts else ""
-        out = excluded(line.element)
+        out = _left_out(line.element)
         if not clean and not out:
             continue
         plain = 0 if out or 3 * line.linked >= 2 * len(clean) else len(clean) - line.linked

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from forktide.llm.html_text import extract, main_text
+from tests.llm.conftest import prose
 
 CASES = [
     (None, ""),
@@ -71,3 +72,35 @@ def test_extract_keeps_rows_and_clashing_columns(spark):
     got = sorted(map(tuple, extract(pages, keep=("url",)).collect()), key=str)
     assert got == sorted([(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)], key=str)
     assert extract(pages.limit(0)).count() == 0
+
+
+PROSE = [prose(40 + i, 60) for i in range(5)]
+BODY = "".join(f"<p>{p}</p>" for p in PROSE)
+WANTED = "\n\n".join(PROSE)
+
+
+@pytest.mark.parametrize(
+    "frame",
+    ["<form action='/'>{}</form>", "<div class='content has-sidebar'>{}</div>", "<div class='no-header'>{}</div>",
+     "<div class='site-search-enabled'><div role='search'>{}</div></div>", "<fieldset><div id='page-nav-layout'>{}</div></fieldset>"],
+)
+def test_frames_of_a_page_are_no_parts_beside_it(frame):
+    inner = f"<nav><a href=a>Home</a></nav>{BODY}<div class=comments><p>{prose(9, 30)}</p></div><footer>Imprint</footer>"
+    assert main_text("<html><body>" + frame.format(inner) + "</body></html>") == WANTED
+    hidden = frame.format(f"<div hidden>{BODY}</div>")
+    assert main_text(hidden) == ""
+
+
+def test_reader_comments_are_no_frame():
+    page = f"<body><p>{PROSE[0][:40]}</p><div class=comments>{BODY * 5}</div></body>"
+    assert PROSE[1] not in main_text(page)
+
+
+def test_deep_inline_elements_and_unmatched_tags_take_linear_time():
+    import time
+
+    begun = time.perf_counter()
+    assert main_text("<b>" * 5_000 + f"<p>{PROSE[0]}</p>") == PROSE[0]
+    assert main_text("<b>" * 20_000 + "</i>" * 20_000 + f"<p>{PROSE[0]}</p>") == PROSE[0]
+    assert main_text("<svg>" * 20_000 + f"<p>{PROSE[0]}</p>") == PROSE[0]
+    assert time.perf_counter() - begun < 5
