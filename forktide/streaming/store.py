@@ -35,6 +35,7 @@ ERA = 256
 # Between the numbers of a partition's versions; beyond any height.
 TURN = 1 << 40
 REGISTRY = "valid_blocks"
+BLOCKS = "cold_blocks"
 OPS_LOG = "ops_log"
 MOVED, COMPACTED = "move", "compact"
 # Blocks of the hot chain that the status row repeats; all of them are in the registry.
@@ -190,6 +191,7 @@ class ForkStore:
             "month string, part bigint, epoch bigint"
         )
         for name, columns, by in (
+            (self._name(BLOCKS), "height bigint, hash string", f"{PROCESSOR} string, {MOVE} bigint"),
             (self._status_name, status, "id string, era bigint"),
             (self._cold_status_name, cold, "id string"),
             (self._name(OPS_LOG), LOG_COLUMNS.rsplit(", ", 1)[0], "processor_id string"),
@@ -504,6 +506,8 @@ class ForkStore:
                     F.lit(top_hash).alias("hash"),
                     F.current_timestamp().alias("timestamp"),
                 )
+                below = F.col("height") > self._lowest_cutoff()
+                self._index_blocks(batch.filter(below).groupBy("height").agg(F.min("hash").alias("hash")), top)
                 return self._publish_registry(s, epoch, tip, from_=top + 1)
 
             advances = top > self._lowest_cutoff()
@@ -913,6 +917,7 @@ class ForkStore:
             known = self.hash_for_height(cutoff)
             if known is None:  # no block at this height was delivered or kept
                 self._log("unknown_hash", ok=False, height=cutoff)
+            self._index_blocks(registry.filter(F.col("height") <= cutoff), cutoff)
             self._commit_cold(cutoff, known or "", [m.name for m in moves], s.epoch)
             self._reclaim(previous)
         for m in moves:
@@ -978,10 +983,27 @@ class ForkStore:
             if result.failed:
                 raise RuntimeError(f"hot rows could not be moved: {result.failed}")
 
+    def _index_blocks(self, rows: DataFrame, move: int) -> None:
+        """Keep the blocks that a move settles, one partition per move, before they leave the registry."""
+        placed = rows.select("height", "hash", F.lit(self.processor).alias(PROCESSOR), F.lit(move).cast("bigint").alias(MOVE))
+        tb.overwrite_partitions(placed.sortWithinPartitions(PROCESSOR, MOVE, "height"), self._name(BLOCKS))
+
+    def _indexed_hash(self, height: int) -> str | None:
+        """Hash of a settled block: in the partition of the first committed move that reached its height."""
+        first = self._commits().filter((F.col("kind") == MOVED) & (F.col("height") >= height)).agg(F.min("height")).first()[0]
+        if first is None:
+            return None
+        self.spark.catalog.refreshTable(self._name(BLOCKS))
+        own = (F.col(PROCESSOR) == self.processor) & (F.col(MOVE) == first) & (F.col("height") == height)
+        return self.spark.table(self._name(BLOCKS)).filter(own).agg(F.min("hash")).first()[0]
+
     def hash_for_height(self, height: int) -> str | None:
-        """Hash of the block at a height: hot chain and registry first, then cold and hot rows."""
+        """Hash of the block at a height (J4): from the registry or the index of settled blocks; only a
+        height that neither knows is looked for in the rows of cold and hot."""
         at = self._log_of_blocks.read(registry_log.cut(self._state.spans, height + 1, height)).filter(F.col("height") == height)
         known = at.agg(F.min("hash")).first()[0]
+        if known is None and height <= self._highest_cutoff():
+            known = self._indexed_hash(height)
         if known is not None or not self.events:
             return known
         t = next(iter(self.events.values()))

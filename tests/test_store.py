@@ -253,6 +253,27 @@ def test_moves_keep_every_row_visible_once(spark):
     assert store.hash_for_height(99) is None
 
 
+def test_hashes_of_settled_blocks_need_no_scan_of_rows(spark, monkeypatch):
+    store = new_store(spark, hold_to_finality=False)
+    store.apply_final(batch(spark, blocks(0, 9)), to_events, "s", 0)
+    store.apply_hot(batch(spark, blocks(10, 20, seq=50) + blocks(15, 30, "b", 80)), to_events, "s", 1)
+    store.migrate(17)
+    with monkeypatch.context() as m:  # a move that stops before its commit
+        m.setattr(store, "_commit_cold", stop)
+        with pytest.raises(Stop):
+            store.migrate(22)
+    store = again(spark, store)
+    store.apply_hot(batch(spark, blocks(20, 34, "c", 200)), to_events, "s", 2)
+    store.migrate(25)
+    assert [r["height"] for r in store.registry().orderBy("height").collect()][0] > 10
+    with monkeypatch.context() as m:
+        m.setattr(store, "_committed_cold", stop)
+        m.setattr(store, "_committed_hot", stop)
+        found = {h: store.hash_for_height(h) for h in (0, 9, 10, 14, 15, 17, 18, 19, 20, 25, 26, 34)}
+    assert found == {h: f"{'a' if h < 15 else 'b' if h < 20 else 'c'}{h}" for h in found}
+    assert store.hash_for_height(99) is None
+
+
 def test_cutoff_without_finality(spark):
     held = new_store(spark)
     held.apply_hot(batch(spark, blocks(1, 20), finalized=2), to_events, "s", 0)
