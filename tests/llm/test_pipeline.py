@@ -41,4 +41,4 @@ def test_all_queries_are_registered():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
