@@ -82,7 +82,7 @@ def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document; learned from those whose key has crc32 mod 7 other than 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
-    scored = class_lm.score(docs, *class_lm.fit(docs.filter(~held_out)))
+    scored = class_lm.fit_and_score(docs, ~held_out)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
     )
