@@ -4,12 +4,15 @@ Every language has a tree of byte contexts of up to three bytes, learned from a
 labelled documents and then frozen. The code length of a byte is that of PPM method C: in a context
 that was seen n times with d different bytes, a byte seen k times costs ``-log2(k / (n + d))``, any
 other byte costs an escape, ``-log2(d / (n + d))``, and is then coded in the context one byte
-shorter, at the end among all symbols alike. A text belongs to the language whose tree codes it
-shortest. The trees are laid out as one table of code lengths, a row per (context, next symbol) and
-a column per language, so scoring is one lookup per byte and a sum per text.
+shorter, at the end among all 256 bytes alike. A text belongs to the language whose tree codes it
+shortest. Code lengths are those of the text's own UTF-8 bytes, none folded or merged; before a text
+stand three blanks.
 
-Bytes are mapped to at most 64 symbols first: A-Z to a-z, digits to one symbol, and all bytes that
-are rare in the training sample to one symbol.
+The trees of all languages are laid out together and sparsely: for every order the strings of context
+and byte that some language has seen, sorted, with a code length per language, and the contexts with
+what an escape costs. A byte is looked up in the longest order that has it; only where no language has
+seen it there, the escapes are added and the next shorter order is asked. The layout has at most four
+strings for each byte of the sample, whatever the script.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0; ties go to the
 language that sorts first; repeated rows get equal results; an empty training set makes every text
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 
 from forktide.llm.common import bounded_sample, give_back
 
-SYMBOLS = 64
+BYTES = 256
 ORDER = 3
 UNKNOWN = "und"
 # Bounds of the training sample: documents per language, and characters of one of them.
@@ -45,83 +48,102 @@ LEAST_SCORE = 0.3
 
 @dataclass(frozen=True)
 class ContextTrees:
+    """Per order: ``grams`` (context and byte as one number, sorted) with ``bits``, ``contexts`` with ``escapes``.
+
+    ``bits`` and ``escapes`` have a row per gram or context and a column per language.
+    """
+
     languages: tuple[str, ...]
-    symbol: np.ndarray  # byte -> symbol
-    deep: np.ndarray  # context of three symbols -> first row, or -1 where no language has seen it
-    bits: np.ndarray  # row, language -> code length
-
-
-def symbol_map(sample: list[bytes]) -> np.ndarray:
-    counts = np.zeros(256, np.int64)
-    for text in sample:
-        counts += np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-    folded = np.arange(256)
-    folded[ord("A") : ord("Z") + 1] += 32
-    folded[ord("0") : ord("9") + 1] = ord("0")
-    folded[[9, 10, 11, 12, 13]] = 32
-    merged = np.bincount(folded, weights=counts, minlength=256)
-    merged[32] += merged.sum() + 1  # the blank is symbol 0, also before the text
-    order = np.argsort(-merged, kind="stable")
-    symbol = np.full(256, SYMBOLS - 1, np.int64)
-    kept = [b for b in order[: SYMBOLS - 1] if merged[b] > 0]
-    symbol[kept] = np.arange(len(kept))
-    return symbol[folded]
-
-
-def _symbols(texts: list[bytes], symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all texts, each after ORDER blanks; the first position and the length of each."""
+    grams: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+
+def _bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, each after ORDER blanks; the first position and the length of each."""
     lengths = np.array([len(t) for t in texts], np.int64)
     pad = b" " * ORDER
-    s = symbol.astype(np.uint8)[np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)]
+    s = np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)
     starts = np.concatenate([[0], np.cumsum(lengths + ORDER)[:-1]]) + ORDER
     return s, starts, lengths
 
 
+def _grams(s: np.ndarray, order: int) -> np.ndarray:
+    """At every byte after the first ORDER ones: the byte with the ``order`` bytes before it."""
+    out = np.zeros(len(s) - ORDER, np.uint32)
+    for o in range(order, -1, -1):
+        out = (out << np.uint32(8)) | s[ORDER - o : len(s) - o]
+    return out
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of the wanted numbers among the sorted known ones, -1 for those that are not there."""
+    if not len(known):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, at, -1)
+
+
 def learn(sample: list[tuple[str, bytes]]) -> ContextTrees:
     """Trees of the languages in ``sample`` of (language, text)."""
     languages = tuple(sorted({lang for lang, _ in sample}))
-    symbol = symbol_map([t for _, t in sample])
-    width = SYMBOLS
-    counts = []  # per language: order -> counts by context and symbol
+    seen = []  # per language and order: grams and how often
     for lang in languages:
-        s, starts, lengths = _symbols([t for known, t in sample if known == lang], symbol)
+        s, starts, _ = _bytes([t for known, t in sample if known == lang])
         inside = np.ones(len(s), bool)
         for o in range(1, ORDER + 1):
             inside[starts - o] = False
-        at = np.flatnonzero(inside)
-        by_order, gram = [], s[at].astype(np.int64)
-        for o in range(ORDER + 1):
+        seen.append([np.unique(_grams(s, o)[inside[ORDER:]], return_counts=True) for o in range(ORDER + 1)])
+    trees = ContextTrees(languages, [], [], [], [])
+    for o in range(ORDER + 1):
+        grams = np.unique(np.concatenate([of_lang[o][0] for of_lang in seen]))
+        contexts, context = np.unique(grams >> np.uint32(8), return_inverse=True)
+        bits = np.empty((len(grams), len(languages)), np.float32)
+        escapes = np.empty((len(contexts), len(languages)), np.float32)
+        for k, of_lang in enumerate(seen):
+            counts = np.zeros(len(grams), np.int64)
+            counts[np.searchsorted(grams, of_lang[o][0])] = of_lang[o][1]
+            n = np.bincount(context, weights=counts, minlength=len(contexts))
+            d = np.bincount(context, weights=counts > 0, minlength=len(contexts))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                # A context that this language has not seen costs nothing to leave.
+                escape = np.where(n > 0, -np.log2(d / (n + d)), 0.0)
+                found = -np.log2(counts / (n + d)[context])
+            shorter = np.log2(BYTES)
             if o:
-                gram = gram + (s[at - o].astype(np.int64) << (6 * o))
-            if o < ORDER:
-                by_order.append(np.bincount(gram, minlength=width ** (o + 1)).reshape(-1, width))
-            else:
-                by_order.append(np.unique(gram, return_counts=True))
-        counts.append(by_order)
-    seen = np.unique(np.concatenate([c[ORDER][0] // width for c in counts]))
-    deep = np.full(width**ORDER, -1, np.int32)
-    shallow_rows = width**ORDER
-    deep[seen] = shallow_rows + width * np.arange(len(seen))
-    bits = np.empty((shallow_rows + width * len(seen), len(languages)), np.float32)
-    for k, by_order in enumerate(counts):
-        costs = np.full((1, width), np.log2(width))
-        for o in range(ORDER):
-            costs = _next_order(by_order[o], np.tile(costs, (by_order[o].shape[0] // costs.shape[0], 1)))
-        bits[:shallow_rows, k] = costs.reshape(-1)
-        grams, n = by_order[ORDER]
-        top = np.zeros((len(seen), width), np.int64)
-        top[np.searchsorted(seen, grams // width), grams % width] = n
-        bits[shallow_rows:, k] = _next_order(top, costs[seen % width ** (ORDER - 1)]).reshape(-1)
-    return ContextTrees(languages, symbol, deep, bits)
-
-
-def _next_order(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Code lengths in contexts with these counts, given those in the contexts one symbol shorter."""
-    n, d = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        found = -np.log2(counts / (n + d))
-        escaped = shorter - np.log2(d / (n + d))
-    return np.where(counts > 0, found, np.where(n > 0, escaped, shorter))
+                # Every gram ends with one that is a byte shorter, which some language has seen, too.
+                tail = grams & np.uint32((1 << (8 * o)) - 1)
+                shorter = trees.bits[o - 1][np.searchsorted(trees.grams[o - 1], tail), k]
+            bits[:, k] = np.where(counts > 0, found, escape[context] + shorter)
+            escapes[:, k] = escape
+        trees.grams.append(grams)
+        trees.bits.append(bits)
+        trees.contexts.append(contexts)
+        trees.escapes.append(escapes)
+    return trees
+
+
+def _costs(s: np.ndarray, trees: ContextTrees) -> np.ndarray:
+    """Bits of every byte after the first ORDER ones under each language."""
+    grams = _grams(s, ORDER)
+    row = _find(trees.grams[ORDER], grams)
+    out = np.zeros((len(grams), len(trees.languages)), np.float32)
+    out[row >= 0] = trees.bits[ORDER][row[row >= 0]]
+    left = np.flatnonzero(row < 0)
+    for o in range(ORDER, -1, -1):
+        if not len(left):
+            break
+        if o < ORDER:
+            row = _find(trees.grams[o], grams[left] & np.uint32((1 << (8 * (o + 1))) - 1))
+            there = row >= 0
+            out[left[there]] += trees.bits[o][row[there]]
+            left = left[~there]
+        context = (grams[left] >> np.uint32(8)) & np.uint32((1 << (8 * o)) - 1)
+        row = _find(trees.contexts[o], context)
+        out[left[row >= 0]] += trees.escapes[o][row[row >= 0]]
+    out[left] += np.float32(np.log2(BYTES))
+    return out
 
 
 def code_lengths(texts: list[bytes], trees: ContextTrees) -> np.ndarray:
@@ -129,16 +151,11 @@ def code_lengths(texts: list[bytes], trees: ContextTrees) -> np.ndarray:
     out = np.zeros((len(texts), len(trees.languages)))
     if not texts:
         return out
-    s, starts, lengths = _symbols(texts, trees.symbol)
-    # Long texts are summed slice by slice; each position needs only the three symbols before it.
+    s, starts, lengths = _bytes(texts)
+    # Long texts are summed slice by slice; each position needs only the three bytes before it.
     owner_start = 0
     for begin in range(ORDER, len(s), SLICE_BYTES):
         end = min(len(s), begin + SLICE_BYTES)
-        w = s[begin - ORDER : end].astype(np.int32)
-        tail = (w[1:-2] << 6) | w[2:-1]
-        context = (w[:-3] << 12) | tail
-        first = trees.deep[context]
-        row = np.where(first >= 0, first + w[3:], (tail << 6) | w[3:])
         # Pieces of texts within this slice, without the blanks between them.
         while owner_start < len(texts) and starts[owner_start] + lengths[owner_start] <= begin:
             owner_start += 1
@@ -151,7 +168,7 @@ def code_lengths(texts: list[bytes], trees: ContextTrees) -> np.ndarray:
         ids, low, high = ids[high > low], low[high > low], high[high > low]
         if len(ids) == 0:
             continue
-        values = trees.bits[row]
+        values = _costs(s[begin - ORDER : end], trees)
         cuts = np.empty(2 * len(ids), np.int64)
         cuts[0::2], cuts[1::2] = low, high
         values = np.concatenate([values, np.zeros((1, values.shape[1]), np.float32)])
