@@ -1,7 +1,7 @@
 """Joins of many rows against a keyed side whose keys are unique (registry, ids, lookups).
 
 The keyed side is broadcast only when its size is bounded beforehand; otherwise both sides are
-shuffled and rows of a hot key are spread over salts.
+shuffled and merged, and rows of a hot key are spread by adaptive execution, or else over salts.
 """
 
 from __future__ import annotations
@@ -38,15 +38,23 @@ def keyed_join(
     """Join ``rows`` with ``keyed`` (unique on ``on``); ``how`` keeps its Spark meaning.
 
     ``max_rows`` is an upper bound of ``keyed`` known to the caller, e.g. from a height range. With
-    none, or one above BROADCAST_ROWS, the join is shuffled: ``salt_by`` names columns of ``rows``
-    that differ within one key, and the keyed side is repeated once per salt. Without ``salt_by``
-    skew is left to adaptive execution, which splits large partitions of ``rows``.
+    none, or one above BROADCAST_ROWS, both sides are shuffled and merged, whatever size Spark expects
+    of ``keyed``: files on disk say little of the rows in them. Adaptive execution splits partitions
+    that a hot key makes large. Where it is off, ``salt_by`` names columns of ``rows`` that differ
+    within one key, and the keyed side is repeated once per salt.
     """
     on = list(on)
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(keyed), on, how)
-    if not salt_by:
-        return rows.join(keyed, on, how)
+    if not salt_by or splits_skew(rows):
+        return rows.join(keyed.hint("merge"), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
+def splits_skew(rows: DataFrame) -> bool:
+    """Whether the session splits large partitions of a join by itself."""
+    conf = rows.sparkSession.conf
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(conf.get(s) == "true" for s in settings)

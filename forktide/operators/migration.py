@@ -104,7 +104,7 @@ def blocks_since(
     """Blocks delivered after the last migration of their key.
 
     ``migrations`` has the keys and ``seq``; a key that never migrated counts all its blocks.
-    ``max_keys`` bounds the number of keys; without it blocks of a hot key are salted by ``seq``.
+    ``max_keys`` bounds the number of keys; without it the join is shuffled, salted by ``seq`` if need be.
     """
     keys = list(keys)
     last = migrations.groupBy(*keys).agg(F.max(seq).alias("_last"))

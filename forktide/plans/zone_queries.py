@@ -367,7 +367,7 @@ FROM l JOIN part ON p_partkey = l_partkey WHERE height <= (SELECT h FROM t) - {D
 GROUP BY p_brand""",
 )
 def enriched_migration(spark: SparkSession, sf: str) -> DataFrame:
-    """The row transform of a move looks up a price; lines of one part are salted if it is large."""
+    """The row transform of a move looks up a price; the parts are merged with the lines if there are many."""
     lines = d.table(spark, sf, "lineitem").select(
         F.call_function("div", F.col("l_orderkey"), F.lit(10)).alias("height"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from forktide.operators import chain, visible
+from forktide.operators import chain, joins, visible
 from model import random_deliveries, stack_chain
 
 P = "p"
@@ -185,6 +185,25 @@ def test_join_strategies_agree(spark, how):
     assert ("BroadcastHashJoin" in plan.split("== Physical Plan ==")[1]) or how != "broadcast"
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("salt_by", [["id"], []])
+def test_a_side_of_unknown_size_is_never_broadcast(spark, adaptive, salt_by):
+    """Files of a few KB hold more rows than a driver can; repeated per salt they are 32 times as many."""
+    data = rows(spark, [(5, "a", i) for i in range(300)] + [(7, "b", 300)])
+    registry = blocks(spark, [(h, "a") for h in range(600)])
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for how in ("left_semi", "left_anti", "left", "inner"):
+            joined = joins.keyed_join(data, registry, ["height", "hash"], how, salt_by=salt_by)
+            assert joined.count() == {"left_semi": 300, "left_anti": 1, "left": 301, "inner": 300}[how]
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+            # The keyed side is repeated only where nothing else spreads a hot key.
+            assert ("Generate" in plan) == (bool(salt_by) and adaptive == "false")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_zone_union_reads_each_row_once(spark):
     data = rows(spark, [(h, "a", h) for h in range(100)])
     cold, hot = data.filter("height <= 60"), data.filter("height > 30")
