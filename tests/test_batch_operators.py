@@ -18,6 +18,7 @@ from forktide.operators import (
     state,
     versions,
 )
+from forktide.operators.joins import BROADCAST_ROWS
 from forktide.sources import feed, rows as row_ops
 
 
@@ -353,3 +354,15 @@ def test_json_lines_round_trip(spark, tmp_path):
     feed.write_json_lines(df, str(tmp_path / "j"))
     back = feed.read_json_lines(spark, str(tmp_path / "j"), "id bigint, s string")
     assert sorted(map(tuple, back.collect())) == [(1, "x"), (2, None)]
+
+
+def test_a_move_over_many_blocks_merges_with_the_registry(spark):
+    """Beyond BROADCAST_ROWS blocks the registry is neither broadcast nor repeated per salt."""
+    hot = spark.range(1_000).selectExpr("id", "id div 10 as height", "concat('h', id div 10) as hash", "id as seq")
+    registry = spark.range(0, 100, 2).selectExpr("id as height", "concat('h', id) as hash")
+    moved = migration.rows_to_move(
+        hot, -1, 89, registry, ["height", "id"], ["seq"], max_blocks=BROADCAST_ROWS + 1, salt_by=["height", "id"]
+    )
+    assert moved.count() == 450
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Generate" not in plan
