@@ -12,6 +12,7 @@ from forktide.operators import (
     analytics,
     contracts,
     deletes,
+    joins,
     lookups,
     migration,
     oplog,
@@ -19,6 +20,7 @@ from forktide.operators import (
     versions,
 )
 from forktide.operators.joins import BROADCAST_ROWS
+from forktide.plans import QUERIES
 from forktide.sources import feed, rows as row_ops
 
 
@@ -366,3 +368,12 @@ def test_a_move_over_many_blocks_merges_with_the_registry(spark):
     assert moved.count() == 450
     plan = moved._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_tables_flushed_with_many_blocks_repeat_no_registry(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
+    counted = QUERIES["flushed_tables"](spark, sf_dir)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, events.collect()))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Generate" not in plan
