@@ -17,6 +17,8 @@ follows itself. Columns of the input other than key and text are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,12 +105,16 @@ def likeness(a: str, b: str) -> Column:
     return F.greatest((same - chance) / (1 - chance), F.lit(0.0))
 
 
-def with_next(df: DataFrame, key: str, text: str, columns: list[str]) -> DataFrame:
+def with_next(
+    df: DataFrame, key: str, text: str, columns: list[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Adds ``next_<c>`` for every c of ``columns``: its value in the row with the next key.
 
     Keys are cut into stretches of some STRETCH_ROWS rows at approximate quantiles, so that no task
     sorts more than a stretch; the first row of a stretch is sent to the stretch before it as well.
-    The cuts need not be exact, only ascending. Only the cuts reach the driver.
+    The cuts need not be exact, only ascending. Only the cuts reach the driver. ``prepare`` adds columns
+    row by row once the rows to send are chosen, so costly ones are worked out for those alone.
     """
     rows = df.count()
     stretches = min(MOST_STRETCHES, rows // STRETCH_ROWS + 1)
@@ -125,7 +131,7 @@ def with_next(df: DataFrame, key: str, text: str, columns: list[str]) -> DataFra
     firsts = placed.groupBy("_stretch").agg(F.min(F.struct(F.col(key).isNotNull(), key)).alias("f"))
     starts = sorted((r["_stretch"], r["f"][1]) for r in firsts.collect())
     if not starts:
-        return df.withColumns({f"next_{c}": F.col(c) for c in columns})
+        return prepare(df).withColumns({f"next_{c}": F.col(c) for c in columns})
     # At most MOST_STRETCHES rows: the first key of each stretch, and the stretch before it.
     kind = df.schema[key].dataType
     guests = df.sparkSession.range(1).select(
@@ -142,7 +148,7 @@ def with_next(df: DataFrame, key: str, text: str, columns: list[str]) -> DataFra
     both = placed.withColumn("_guest", F.lit(False)).unionByName(extra.withColumn("_guest", F.lit(True)))
     order = Window.partitionBy("_stretch").orderBy("_guest", key, text)
     return (
-        both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
+        prepare(both).withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
         .filter(~F.col("_guest"))
         .drop("_stretch", "_guest")
     )
@@ -161,7 +167,9 @@ def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     code points of the next text, or by all of it if it is shorter.
     """
     plain = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    df = with_next(with_signature(plain, "_text", "_sig"), "_key", "_text", ["_text", "_sig"])
+    df = with_next(
+        plain, "_key", "_text", ["_text", "_sig"], lambda rows: with_signature(rows, "_text", "_sig")
+    )
     half = F.floor(F.length("_text") / 2).cast("int")
     edited = F.concat(
         F.substring("_text", 1, F.length("_text") - half), F.substring(F.col("next__text"), F.lit(1), half)

@@ -49,3 +49,12 @@ def test_single_repeated_null_and_no_rows(documents):
     assert len(rows) == 4
     assert fp.edited_pairs(documents(["a"]).limit(0)).count() == 0
     assert fp.fingerprints(documents(["a", None])).count() == 2
+
+
+def test_only_the_rows_sent_to_another_stretch_are_hashed_again(documents, monkeypatch):
+    """Signatures come after the join that chooses those rows, not below it."""
+    monkeypatch.setattr(fp, "STRETCH_ROWS", 3)
+    found = fp.edited_pairs(documents([prose(i, 12) for i in range(20)]))
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert "xxhash64" in "".join(lines[:at]) and "xxhash64" not in "".join(lines[at:])
