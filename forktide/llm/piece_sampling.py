@@ -6,14 +6,14 @@ ordinary sample, and the others follow without replacement. They are found by a
 (A-star) search over sets of paths: after a path was taken, the remaining paths of its set fall into
 one set for every position, those that agree with it up to there and differ next. A set's bound is
 the largest perturbed score in it, a Gumbel variable truncated by the bound of the set it was in, so
-only the set of the highest bound is ever opened. The inclusion score of a path is the probability
+only the set of the highest bound is ever opened; sets get a bound once they could be that. The inclusion score of a path is the probability
 that its score is above that of the best path not taken, ``1 - exp(-exp(log_prob - bound))``.
 
 Weights: a piece of rank r among the merges weighs ``(r + 2) ** -SHARPNESS``; characters without a
 piece become byte pieces. Random numbers are drawn by hashing the row's key with the position, so a
 row has the same samples wherever and with whatever other rows it is processed.
 
-Pieces never run past a blank or line end, so lattices are built once per distinct word, and those of
+Pieces never run past a blank or line end, so lattices are built once per distinct word (found by hash, then compared), and those of
 some ``KEPT_NODES`` characters of words are kept. A group has some ``GROUP_CHARS`` characters, and at least
 one text.
 
@@ -27,11 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +41,7 @@ from pyspark.sql import types as T
 from forktide.llm.common import give_back
 
 BLANK = "▁"
-SAMPLES = 2
+SAMPLES = 4
 SHARPNESS = 1.0
 GROUP_CHARS = 400_000
 KEPT_NODES = 1_200_000  # characters of the words whose lattices are kept from group to group
@@ -55,10 +53,10 @@ LEAD_BITS = 18
 # Random numbers lie between 2 ** -53 and 1 - 2 ** -53, so a Gumbel variable exceeds its location by
 # less than HIGHEST; a set whose bound cannot come near the best one needs no random number.
 HIGHEST = 37.0
-WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
 
 # Hashes of strings: the sum of (code point + 1) * _BASE ** place, places from 1.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_LEAD = np.array([0, 0, 0xC0, 0xE0, 0xF0])  # first byte of a character of so many bytes
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -88,6 +86,7 @@ class Vocabulary:
         self.weight[ids] = -sharpness * np.log(np.array(ranks) + 2.0)
         self.byte_weight = -sharpness * np.log(n + 2.0)
         self.longest = max(map(len, texts))
+        self.written = pa.array(self.bytes_of, pa.binary())
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
         # Per length, leading bits of the hashes of beginnings of longer pieces: where a string has none
         # of them, no longer piece begins.
@@ -144,24 +143,62 @@ class Lattice:
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.words: dict[str, int] = {}  # the first node of a word
-        self.nodes = self.edges = 0
+        self.clear()
+        self.start, self.chars = np.empty(0, np.int32), np.empty(0, np.int32)  # of words, by number: first node, size
         self.points = np.empty(0, np.uint32)
         self.first, self.last = np.empty(0, np.int32), np.empty(0, np.int32)
         self.at, self.size, self.piece = np.empty(0, np.int32), np.empty(0, np.int16), np.empty(0, np.int32)
         self.log_p, self.upto = np.empty(0), np.empty(0)
 
+    def clear(self) -> None:
+        """Forget all words; their room is used again."""
+        self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int32)  # of words, by hash
+        self.nodes = self.edges = self.added = 0
+
     def _put(self, used: int, **columns: np.ndarray) -> None:
         for name, values in columns.items():
             buffer = _grown(getattr(self, name), used, len(values))
             buffer[used : used + len(values)] = values
             setattr(self, name, buffer)
 
-    def add(self, words: list[str]) -> None:
-        """Lattices of words that are not there yet."""
+    def numbers(self, points: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of the words that ``points`` is cut into, whose lattices are there from now on."""
+        place = np.arange(len(points), dtype=np.int32) - np.repeat(start, sizes)
+        power = np.cumprod(np.full(int(sizes.max(initial=0)), _BASE))
+        own = np.add.reduceat((points + np.uint64(1)) * power[place], start) if len(start) else np.empty(0, np.uint64)
+        hashes, first, of = np.unique(own, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~known)
+        number = np.empty(len(hashes), np.int32)
+        number[known] = self.number[at[known]]
+        met = new[np.argsort(first[new])]  # in the order in which they are walked
+        number[met] = self.added + np.arange(len(met))
+        self.hashes = np.insert(self.hashes, at[new], hashes[new])
+        self.number = np.insert(self.number, at[new], number[new])
+        self._add_some(points, start[first[met]], sizes[first[met]])
+        number = number[of]
+        # Words that only share a hash get lattices of their own.
+        place += np.repeat(self.start[number], sizes)
+        same = self.points[np.minimum(place, self.nodes - 1)] == points
+        if not same.all() or (self.chars[number] != sizes).any():
+            other = np.flatnonzero(~np.logical_and.reduceat(same, start) | (self.chars[number] != sizes))
+            number[other] = self.added + np.arange(len(other))
+            self._add_some(points, start[other], sizes[other])
+        return number
+
+    def _add_some(self, points: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> None:
+        """Lattices of words within ``points``, some ``ADDED`` characters at a time."""
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // ADDED)) + 1
+        for some, lengths in zip(np.split(start, cuts), np.split(sizes, cuts)):
+            ends = np.cumsum(lengths)
+            self.add(points[np.arange(lengths.sum()) + np.repeat(some - ends + lengths, lengths)], lengths)
+
+    def add(self, points: np.ndarray, lengths: np.ndarray) -> None:
+        """Lattices of the words next in number, laid end to end."""
         v = self.v
-        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        lengths = np.array([len(w) for w in words], np.int64)
         end = np.cumsum(lengths)
         start = end - lengths
         n = len(points)
@@ -206,12 +243,13 @@ class Lattice:
         first = np.zeros(n, np.int32)
         first[nodes] = np.concatenate([[0], np.cumsum(edges_of[nodes])[:-1]]) if n else 0
         total = int(edges_of.sum())
-        e_at, e_size, e_piece = np.empty(total, np.int32), np.empty(total, np.int16), np.empty(total, np.int32)
+        e_at = np.repeat(nodes, edges_of[nodes])
+        e_size, e_piece = np.empty(total, np.int16), np.empty(total, np.int32)
         free = first.copy()
         for some, length, ids in zip(at, sizes, pieces):
             place = free[some]
             free[some] += 1
-            e_at[place], e_size[place], e_piece[place] = some, length, ids
+            e_size[place], e_piece[place] = length, ids
         del at, pieces, free
         values = v.weight[e_piece]
         raw = np.flatnonzero(e_piece < 0)
@@ -240,7 +278,8 @@ class Lattice:
         for k in range(1, int(edges_of.max(initial=0))):
             more = first[edges_of > k] + k
             upto[more] += upto[more - 1]
-        self.words.update(zip(words, (start + self.nodes).tolist()))
+        self._put(self.added, start=start + self.nodes, chars=lengths)
+        self.added += len(lengths)
         self._put(self.nodes, points=points, first=first + self.edges, last=first + edges_of + (self.edges - 1))
         self._put(self.edges, at=e_at + self.nodes, size=e_size, piece=e_piece, log_p=log_p, upto=upto)
         self.nodes += n
@@ -267,16 +306,33 @@ class Lattice:
         rest[:] = np.frombuffer(known)
 
 
-def uniform(seed: np.ndarray, stream: int, position: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) by hashing seed, stream and position."""
+def _mixed(seed: np.ndarray, stream: int, start: np.ndarray | int = 0) -> np.ndarray:
+    """The part of ``uniform`` that does not depend on the position, for positions counted from ``start``."""
     with np.errstate(over="ignore"):
         x = seed.astype(np.uint64) ^ (np.uint64(stream + 1) * np.uint64(0xD1342543DE82EF95))
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        x += (position.astype(np.uint64) + np.uint64(1)) * _BASE
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
+        return x + (np.uint64(1) - np.asarray(start).astype(np.uint64)) * _BASE
+
+
+def _drawn(mixed: np.ndarray, position: np.ndarray) -> np.ndarray:
+    x = position.astype(np.uint64)
+    x *= _BASE
+    x += mixed
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(12)
+    out = x.astype(np.float64)
+    out += 0.5
+    out *= 1.0 / (1 << 52)
+    return out
+
+
+def uniform(seed: np.ndarray, stream: int, position: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) by hashing seed, stream and position."""
+    return _drawn(_mixed(seed, stream), position)
 
 
 def _below(location: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -286,6 +342,12 @@ def _below(location: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray
     return np.where(np.isneginf(location), -np.inf, np.minimum(out, bound))
 
 
+def _log_rest(log_p: np.ndarray) -> np.ndarray:
+    """Log of what an edge of the given log probability leaves to the others of its node."""
+    rest = 1.0 - np.exp(log_p)
+    return np.where(rest > 1e-12, np.log(np.maximum(rest, 1e-300)), -np.inf)
+
+
 class _Group:
     """Some texts, their words, and the paths taken so far.
 
@@ -294,65 +356,65 @@ class _Group:
     """
 
     def __init__(self, texts: list[str], seeds: np.ndarray, lattice: Lattice):
-        words = [WORDS.findall(t) for t in texts]
         if lattice.nodes > KEPT_NODES:
-            lattice.__init__(lattice.v)
-        part, chars = [], 0
-        for word in set().union(*words).difference(lattice.words):
-            part.append(word)
-            chars += len(word)
-            if chars > ADDED:
-                lattice.add(part)
-                part, chars = [], 0
-        lattice.add(part)
-        self.lattice = lattice
-        start_of = lattice.words.__getitem__
-        n = sum(map(len, words))
-        start = np.fromiter(map(start_of, chain.from_iterable(words)), np.int32, n)
-        sizes = np.fromiter(map(len, chain.from_iterable(words)), np.int32, n)
-        self.word_end = np.cumsum(sizes, dtype=np.int32)  # by occurrence, in characters of the group
-        self.word_start = self.word_end - sizes
-        self.shift = start - self.word_start
-        self.word_text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(w) for w in words])
+            lattice.clear()
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int32)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int32)
+        # A word is blanks and what follows them up to a blank or line end; a line end is a word.
+        blank, line = points == ord(BLANK), points == ord("\n")
+        begins = blank | line
+        begins[1:] &= ~(blank[1:] & blank[:-1])
+        begins[1:] |= line[:-1]
+        begins[self.starts] = True
+        self.word_start = np.flatnonzero(begins).astype(np.int32)  # by occurrence, in characters of the group
+        self.word_end = np.append(self.word_start[1:], np.int32(len(points)))
+        number = lattice.numbers(points, self.word_start, self.word_end - self.word_start)
+        self.lattice = lattice
+        self.shift = lattice.start[number] - self.word_start
+        counts = np.diff(np.searchsorted(self.word_start, self.starts), append=len(self.word_start))
+        self.word_text = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
         self.seeds = seeds
         self.place: list[np.ndarray] = []
         self.edge: list[np.ndarray] = []
         self.before: list[np.ndarray] = []
         self.bound: list[np.ndarray] = []
         self.part: list[np.ndarray] = []  # where the texts begin in these arrays
+        self.log_p: list[np.ndarray] = []  # of the texts' paths
+        # Sets left without a bound as they cannot be the next: the most it can be, and how it is drawn.
+        self.put_off: list[np.ndarray] = []
+        self.drawn: list[tuple[np.ndarray, np.ndarray, int]] = []
         self.excluded: dict[tuple[int, int], list[int]] = {}
 
     def walk(self, stream: int, at: np.ndarray, occurrence: np.ndarray, edge: np.ndarray) -> None:
         """Sample on from the characters ``at`` to the ends of their words, into ``edge``."""
         lat = self.lattice
         shift, end = self.shift[occurrence], self.word_end[occurrence]
-        text = self.word_text[occurrence]
-        seed, start = self.seeds[text], self.starts[text]
+        mixed = _mixed(self.seeds, stream, self.starts)[self.word_text[occurrence]]
         while len(at) > FEW:
             node = at + shift
-            u = uniform(seed, stream, at - start)
-            e, last = lat.first[node], lat.last[node]
-            open_ = np.flatnonzero((u > lat.upto[e]) & (e < last))
+            u = _drawn(mixed, at)
+            # The first edge whose sum reaches u, from the last one back: longer pieces are likelier.
+            e, first = lat.last[node], lat.first[node]
+            open_ = np.flatnonzero(e > first)
             while len(open_):
-                e[open_] += 1
-                o = e[open_]
-                open_ = open_[(u[open_] > lat.upto[o]) & (o < last[open_])]
+                open_ = open_[u[open_] <= lat.upto[e[open_] - 1]]
+                e[open_] -= 1
+                open_ = open_[e[open_] > first[open_]]
             edge[at] = e
             at = at + lat.size[e]
             on = at < end
-            at, shift, end, seed, start = at[on], shift[on], end[on], seed[on], start[on]
-        for one in zip(at.tolist(), shift.tolist(), end.tolist(), seed, start.tolist()):
-            self._walk_one(stream, *one, edge)
+            at, shift, end, mixed = at[on], shift[on], end[on], mixed[on]
+        for one in zip(at.tolist(), shift.tolist(), end.tolist(), mixed):
+            self._walk_one(*one, edge)
 
-    def _walk_one(self, stream: int, at: int, shift: int, end: int, seed: np.uint64, start: int, edge: np.ndarray) -> None:
+    def _walk_one(self, at: int, shift: int, end: int, mixed: np.uint64, edge: np.ndarray) -> None:
         """The same for one word, step by step."""
         lat = self.lattice
         while at < end:
             base, stop = at, min(at + PART, end)
             place = np.arange(base, stop)
-            numbers = uniform(np.full(len(place), seed), stream, place - start).tolist()
+            numbers = _drawn(mixed, place).tolist()
             lo = lat.first[place + shift].tolist()
             hi = lat.last[place + shift].tolist()
             upto, size = lat.upto, lat.size
@@ -368,15 +430,17 @@ class _Group:
         lat = self.lattice
         at = np.flatnonzero(edge >= 0).astype(np.int32)
         edge = edge[at]
-        own = np.searchsorted(self.ends, at, side="right").astype(np.int32)
-        part = np.searchsorted(at, self.starts)
+        part = np.append(np.searchsorted(at, self.starts), len(at))
+        own = np.repeat(np.arange(len(self.starts), dtype=np.int32), np.diff(part))
         log_p = lat.log_p[edge]
+        some = np.flatnonzero(part[1:] > part[:-1])
+        total = np.zeros(len(self.starts))  # 0 where a text has no such path
+        if len(some):
+            total[some] = np.add.reduceat(log_p, part[some])
         sums = np.concatenate([[0.0], np.cumsum(log_p)])
-        before = sums[:-1] - sums[part][own]
+        before = sums[:-1] - np.repeat(sums[part[:-1]], np.diff(part))
         del sums
-        rest = 1.0 - np.exp(log_p)
-        with np.errstate(divide="ignore"):
-            mass = before + np.where(rest > 1e-12, np.log(np.maximum(rest, 1e-300)), -np.inf)
+        mass = before + _log_rest(log_p)
         mass[at < begin[own]] = -np.inf
         limit = np.full(len(at), -np.inf)
         # The set of the largest mass has at least this bound, whatever is drawn.
@@ -386,18 +450,48 @@ class _Group:
             most[own[first]] = np.maximum.reduceat(mass, first)
         with np.errstate(over="ignore", invalid="ignore"):
             least = most - np.log(np.exp(np.minimum(most - bound, 700.0)) + HIGHEST)
-        near = np.flatnonzero(mass + HIGHEST >= least[own])
+        far = mass + HIGHEST < least[own]
+        near = np.flatnonzero(~far)
         near = near[np.isfinite(mass[near])]
+        put_off = np.full(len(self.starts), -np.inf)
+        if len(at):
+            put_off[own[first]] = np.maximum.reduceat(np.where(far, mass, -np.inf), first) + HIGHEST
+        self.put_off.append(put_off)
+        self.drawn.append((begin, bound, stream))
         u = uniform(self.seeds[own[near]], stream, at[near] - self.starts[own[near]])
         limit[near] = _below(mass[near], bound[own[near]], u)
         self.place.append(at)
         self.edge.append(edge)
         self.before.append(before)
         self.bound.append(limit)
-        self.part.append(np.concatenate([part, [len(at)]]))
+        self.part.append(part)
+        self.log_p.append(total)
+
+    def _settle(self, path: int, text: int) -> None:
+        """Draw the bounds of a text's sets that were put off."""
+        begin, bound, stream = self.drawn[path]
+        a, b = self.part[path][text : text + 2]
+        at, old = self.place[path][a:b], self.bound[path][a:b]
+        mass = self.before[path][a:b] + _log_rest(self.lattice.log_p[self.edge[path][a:b]])
+        left = np.isneginf(old) & np.isfinite(mass) & (at >= begin[text])
+        left &= [(path, x) not in self.excluded for x in at.tolist()]  # a set that was opened has its bound
+        place = at[left] - self.starts[text]
+        u = uniform(np.full(len(place), self.seeds[text]), stream, place)
+        old[left] = _below(mass[left], np.full(len(place), bound[text]), u)
+        self.put_off[path][text] = -np.inf
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """The largest bound of each text's sets, and the path it belongs to."""
+        while True:
+            top, path = self._best()
+            late = [(q, t) for q, most in enumerate(self.put_off) for t in np.flatnonzero(most > top).tolist()]
+            if not late:
+                return top, path
+            for q, t in late:
+                self._settle(q, t)
+
+    def _best(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same among the sets that have a bound."""
         tops = []
         for bound, part in zip(self.bound, self.part):
             top = np.full(len(self.starts), -np.inf)
@@ -452,24 +546,25 @@ class _Group:
         )
         return edge, leave
 
-    def edges_of(self, path: int, text: int) -> np.ndarray:
-        """Edges of a taken path; none where a text has no such path."""
-        a, b = self.part[path][text : text + 2]
-        return self.edge[path][a:b]
-
-    def pieces(self, path: int, text: int, v: Vocabulary) -> np.ndarray:
-        """Piece ids of a taken path."""
-        lat = self.lattice
-        e = self.edges_of(path, text)
-        ids = lat.piece[e]
-        if (ids >= 0).all():
-            return ids.astype(np.int32)
-        out, done = [], 0
-        for i in np.flatnonzero(ids < 0):
-            out.append(ids[done:i])
-            out.append(v.byte_id[list(chr(lat.points[lat.at[e[i]]]).encode())])
-            done = i + 1
-        return np.concatenate([*out, ids[done:]]).astype(np.int32)
+    def pieces(self, path: int, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts' paths, and where those of each text begin."""
+        lat, edge, part = self.lattice, self.edge[path], self.part[path]
+        ids = lat.piece[edge]
+        raw = np.flatnonzero(ids < 0)
+        if not len(raw):
+            return ids, part
+        c = lat.points[lat.at[edge[raw]]].astype(np.int64)
+        sizes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+        counts = np.ones(len(ids), np.int64)
+        counts[raw] = sizes
+        begin = np.concatenate([[0], np.cumsum(counts)])
+        out = np.repeat(ids, counts)
+        for k in range(4):
+            some = np.flatnonzero(sizes > k)
+            low = (c[some] >> 6 * (sizes[some] - 1 - k)) & 0x3F | 0x80
+            lead = _LEAD[sizes[some]] | (c[some] >> 6 * (sizes[some] - 1))
+            out[begin[raw[some]] + k] = v.byte_id[low if k else lead]
+        return out, begin[part]
 
 
 def sample(
@@ -491,23 +586,30 @@ def sample(
         group.add_path(edge, top, leave + 1, 10 * rank + 3)
         scores.append(top)
     bound, _ = group.best()
-    log_p = [
-        np.array([group.lattice.log_p[group.edges_of(path, t)].sum() for t in range(len(texts))])
-        for path in range(len(group.edge))
-    ]
+    pieces = [group.pieces(path, v) for path in range(k)]
     for t in range(len(texts)):
         for rank in range(k):
             if not np.isfinite(scores[rank][t]):
                 break
             with np.errstate(over="ignore"):
-                inclusion = 1.0 if np.isneginf(bound[t]) else float(-np.expm1(-np.exp(log_p[rank][t] - bound[t])))
-            yield t, rank + 1, group.pieces(rank, t, v), float(log_p[rank][t]), float(scores[rank][t]), inclusion
+                inclusion = 1.0 if np.isneginf(bound[t]) else float(-np.expm1(-np.exp(group.log_p[rank][t] - bound[t])))
+            ids, part = pieces[rank]
+            yield t, rank + 1, ids[part[t] : part[t + 1]], float(group.log_p[rank][t]), float(scores[rank][t]), inclusion
+
+
+def joined(ids: list[np.ndarray], v: Vocabulary) -> Iterator[bytes]:
+    """The pieces of each array of ids laid end to end, in UTF-8."""
+    ends = np.cumsum([len(x) for x in ids])
+    found = v.written.take(pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+    offsets = np.frombuffer(found.buffers()[1], np.int32)
+    data = memoryview(found.buffers()[2] or b"")
+    for n, end in zip(map(len, ids), ends.tolist()):
+        yield bytes(data[offsets[end - n] : offsets[end]])
 
 
 def decode(ids: np.ndarray, v: Vocabulary) -> str:
     """The text of piece ids."""
-    text = b"".join([v.bytes_of[i] for i in ids.tolist()]).decode(errors="replace")
-    return text.replace(BLANK, " ")[1:]
+    return next(joined([ids], v)).decode(errors="replace").replace(BLANK, " ")[1:]
 
 
 def segmentations(
@@ -544,6 +646,7 @@ def segmentations(
             drawn = sample([texts[i] for i in full], seeds[full], v, k, lattice)
             found += [(full[t], *rest) for t, *rest in drawn]
         ids = [f[2] for f in found]
+        wanted = {i: (BLANK + texts[i].replace(" ", BLANK)).encode() if texts[i] else b"" for i in range(begin, end)}
         at = pa.array([f[0] for f in found], pa.int64())
         columns = [
             batch.column(key).take(at),
@@ -552,11 +655,12 @@ def segmentations(
             pa.array([f[3] for f in found], pa.float64()),
             pa.array([f[4] for f in found], pa.float64()),
             pa.array([f[5] for f in found], pa.float64()),
-            pa.array([decode(x, v) == texts[f[0]].replace(BLANK, " ") for f, x in zip(found, ids)], pa.bool_()),
-            pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], pa.string()),
+            pa.array([b == wanted[f[0]] for f, b in zip(found, joined(ids, v))], pa.bool_()),
+            pa.array([hashlib.sha256(x.astype("<i4", copy=False)).hexdigest() for x in ids], pa.string()),
         ]
         if with_ids:
-            columns.append(pa.array(ids, pa.list_(pa.int32())))
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))))
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [

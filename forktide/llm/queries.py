@@ -90,7 +90,7 @@ def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_piece_sampling")
 def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of every document, with inclusion scores."""
+    """Four distinct sampled segmentations of every document, with inclusion scores."""
     return piece_sampling.segmentations(
         table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_VOCABULARY), with_ids=False
     )

@@ -109,3 +109,38 @@ def test_a_very_long_word(v):
     text = "".join("abcdefgh"[i * i % 61 % 8] for i in range(200_000))
     found = list(ps.sample([text], np.array([3], np.uint64), v, 2))
     assert len(found) == 2 and all(ps.decode(f[2], v) == text for f in found)
+
+
+def test_sets_that_were_put_off_are_found_later(v, monkeypatch):
+    all_ = enumerate_all("the ab", v)
+    monkeypatch.setattr(ps, "HIGHEST", 1.0)
+    for seed in range(5):
+        got = list(ps.sample(["the ab"], np.array([seed], np.uint64), v, len(all_) + 1))
+        assert {tuple(map(int, g[2])) for g in got} == set(all_) and len(got) == len(all_)
+
+
+def test_third_samples_follow_the_distribution(v):
+    n = 3_000
+    p = {i: np.exp(w) for i, w in enumerate_all("the a", v).items()}
+    seeds = np.random.default_rng(4).integers(0, 2**63, n).astype(np.uint64)
+    drawn = [{} for _ in range(n)]
+    for t, rank, ids, *_ in ps.sample(["the a"] * n, seeds, v):
+        drawn[t][rank] = tuple(map(int, ids))
+    assert all(len(set(d.values())) == min(ps.SAMPLES, len(p)) > 2 for d in drawn)
+    third = Counter(d[3] for d in drawn)
+    for i in sorted(p, key=p.get)[-3:]:
+        pairs = [(a, b) for a in p for b in p if len({a, b, i}) == 3]
+        wanted = sum(p[a] * p[b] / (1 - p[a]) * p[i] / (1 - p[a] - p[b]) for a, b in pairs)
+        assert abs(third[i] / n - wanted) < 0.035
+
+
+def test_words_that_share_a_hash(v):
+    word = "".join("ab"[i.bit_count() & 1] for i in range(4_096))
+    texts = [word, word.translate({97: 98, 98: 97}), word]
+    for t, _, ids, *_ in ps.sample(texts, np.arange(3).astype(np.uint64), v, 1, ps.Lattice(v)):
+        assert ps.decode(ids, v) == texts[t]
+
+
+def test_the_operator_opens_several_sets(documents):
+    rows = ps.segmentations(documents([prose(1, 40)]), PATH, with_ids=False).collect()
+    assert sorted(r["sample"] for r in rows) == [1, 2, 3, 4] and len({r["ids_sha256"] for r in rows}) == 4
