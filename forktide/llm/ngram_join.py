@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forktide.llm.common import free_names, give_back, stored
@@ -293,8 +293,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """Rows of ``docs``, one of each class: the one with the smallest key (then hash of its text)."""
     found = links(docs, key, text)
     kept = found.groupBy("_class").agg(F.min(F.struct(F.col(key).isNull(), key, "_row")).alias("k"))
-    name, row, own = free_names(docs, n=3)
-    kept = kept.select(F.col(f"k.{key}").alias(name), F.col("k._row").alias(row))
-    rows = docs.withColumn(own, F.xxhash64(text))
-    same = F.col(key).eqNullSafe(F.col(name)) & (F.col(own) == F.col(row))
-    return rows.join(kept, same).dropDuplicates([key, own]).select(*docs.columns)
+    none, name, own = free_names(docs, n=3)
+    # Joined and freed of repeated rows by the same columns, so texts are shuffled and sorted once.
+    ids = [none, name, own]
+
+    def named(key: Column, row: Column) -> list[Column]:
+        return [key.isNull().alias(none), F.coalesce(key.cast("string"), F.lit("")).alias(name), row.alias(own)]
+
+    kept = kept.select(*named(F.col(f"k.{key}"), F.col("k._row")))
+    rows = docs.select("*", *named(F.col(key), F.xxhash64(text)))
+    return rows.join(kept, ids, "left_semi").dropDuplicates(ids).select(*docs.columns)

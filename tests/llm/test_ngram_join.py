@@ -81,3 +81,16 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a string, b string"), "a", "b").collect()}
     assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"}
     assert {got[f"s{i}"] for i in range(40)} | {got["z"]} == {"s0"}
+
+
+def test_keeping_one_shuffles_texts_once(spark, documents, monkeypatch):
+    docs = documents(["x y z", "p q"])
+    found = docs.selectExpr("doc_id", "xxhash64(text) as _row", "text as _class")
+    monkeypatch.setattr(nj, "links", lambda *_: found)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = nj.keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3  # classes, kept rows, texts
