@@ -14,7 +14,8 @@ piece become byte pieces. Random numbers are drawn by hashing the row's key with
 row has the same samples wherever and with whatever other rows it is processed.
 
 Pieces never run past a blank or line end, so lattices are built once per distinct word (found by hash, then compared), and those of
-some ``KEPT_NODES`` characters of words are kept. A group has some ``GROUP_CHARS`` characters, and at least
+some ``KEPT_NODES`` characters of words are kept; beyond that, words that did not come up again are
+forgotten. A group has some ``GROUP_CHARS`` characters, and at least
 one text.
 
 Defined results: NULL and empty texts have one segmentation, the empty one, and thus one row. A text
@@ -44,11 +45,12 @@ BLANK = "▁"
 SAMPLES = 4
 SHARPNESS = 1.0
 GROUP_CHARS = 400_000
-KEPT_NODES = 1_200_000  # characters of the words whose lattices are kept from group to group
+KEPT_NODES = 2_000_000  # characters of the words whose lattices are kept from group to group
 LONG = 512  # characters of a word beyond which its nodes are taken one by one
 ADDED = 100_000  # characters of words that are added together
 FEW = 8  # words that are walked together at least
 PART = 1 << 14
+HEAD = 32  # pieces of a path by which those near its best set are found
 LEAD_BITS = 18
 # Random numbers lie between 2 ** -53 and 1 - 2 ** -53, so a Gumbel variable exceeds its location by
 # less than HIGHEST; a set whose bound cannot come near the best one needs no random number.
@@ -138,15 +140,18 @@ class Lattice:
 
     A node is a character position. The edges of a node are neighbours in the edge arrays: ``piece``
     (-1: byte pieces of the character), ``size`` in characters, ``log_p`` (log probability of the edge
-    given the node) and ``upto`` (sum of the probabilities up to it).
+    given the node) and ``upto`` (sum of the probabilities up to it); ``below`` is that sum for the last
+    edge but one of a node, -1 if there is one edge only. ``again`` counts by word the groups in which it
+    came up again.
     """
 
     def __init__(self, v: Vocabulary):
         self.v = v
         self.clear()
         self.start, self.chars = np.empty(0, np.int32), np.empty(0, np.int32)  # of words, by number: first node, size
+        self.again = np.empty(0, np.int32)
         self.points = np.empty(0, np.uint32)
-        self.first, self.last = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.first, self.last, self.below = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
         self.at, self.size, self.piece = np.empty(0, np.int32), np.empty(0, np.int16), np.empty(0, np.int32)
         self.log_p, self.upto = np.empty(0), np.empty(0)
 
@@ -155,6 +160,31 @@ class Lattice:
         self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int32)  # of words, by hash
         self.nodes = self.edges = self.added = 0
 
+    def forget(self) -> None:
+        """Forget the words that did not come up again; of the others the most frequent ones stay, up to
+        half of the room. They lie in that order, each with its edges side by side."""
+        again = self.again[: self.added]
+        words = np.flatnonzero(again)
+        words = words[np.argsort(-again[words], kind="stable")]
+        words = words[np.cumsum(self.chars[words], dtype=np.int64) <= KEPT_NODES // 2]
+        number = np.full(self.added, -1, np.int32)
+        number[words] = np.arange(len(words))
+        number = number[self.number]
+        hashes, number = self.hashes[number >= 0], number[number >= 0]
+        chars = self.chars[words]
+        start = np.cumsum(chars) - chars
+        nodes = np.arange(chars.sum()) + np.repeat(self.start[words] - start, chars)
+        counts = self.last[nodes] - self.first[nodes] + 1
+        first = np.cumsum(counts) - counts
+        edges = np.arange(counts.sum()) + np.repeat(self.first[nodes] - first, counts)
+        of_nodes = {"points": self.points[nodes], "first": first, "last": first + counts - 1, "below": self.below[nodes]}
+        of_edges = {name: getattr(self, name)[edges] for name in ("size", "piece", "log_p", "upto")}
+        self._put(0, start=start, chars=chars, again=np.zeros(len(words), np.int32))
+        self._put(0, **of_nodes)
+        self._put(0, at=np.repeat(np.arange(len(nodes)), counts), **of_edges)
+        self.hashes, self.number = hashes, number
+        self.nodes, self.edges, self.added = len(nodes), len(edges), len(words)
+
     def _put(self, used: int, **columns: np.ndarray) -> None:
         for name, values in columns.items():
             buffer = _grown(getattr(self, name), used, len(values))
@@ -174,6 +204,7 @@ class Lattice:
         new = np.flatnonzero(~known)
         number = np.empty(len(hashes), np.int32)
         number[known] = self.number[at[known]]
+        self.again[number[known]] += 1
         met = new[np.argsort(first[new])]  # in the order in which they are walked
         number[met] = self.added + np.arange(len(met))
         self.hashes = np.insert(self.hashes, at[new], hashes[new])
@@ -210,7 +241,7 @@ class Lattice:
         at, sizes, pieces = [], [], []
         alive = np.arange(n, dtype=np.int32)
         for length in range(1, v.longest + 1):
-            alive = alive[left[alive] >= length]
+            alive = alive.take(np.flatnonzero(left[alive] >= length))
             if not len(alive):
                 break
             found = np.zeros(len(alive), bool)
@@ -220,19 +251,20 @@ class Lattice:
                 hashes, ids, lead, longest_run = v.by_length[length]
                 where = lead[bits].astype(np.int64)
                 likely = np.flatnonzero(where >= 0)
-                where, hash_ = where[likely], own[likely]
+                where, hash_ = where.take(likely), own.take(likely)
                 for _ in range(longest_run - 1):
                     where += (hashes[where] < hash_) & (where + 1 < len(hashes))
-                equal = hashes[where] == hash_
-                found[likely[equal]] = True
-                at.append(alive[likely[equal]])
+                equal = np.flatnonzero(hashes[where] == hash_)
+                likely = likely.take(equal)
+                found[likely] = True
+                at.append(alive.take(likely))
                 sizes.append(length)
-                pieces.append(ids[where[equal]])
+                pieces.append(ids[where.take(equal)])
             if length == 1:
                 at.append(alive[~found])
                 sizes.append(1)
                 pieces.append(np.full((~found).sum(), -1, np.int32))
-            alive = alive[v.goes_on[length][bits]]
+            alive = alive.take(np.flatnonzero(v.goes_on[length][bits]))
         del sums, inverse
         # Nodes by their distance from the end of the word; edges lie beside each other in that order.
         small = n == 0 or left.max() < 1 << 16
@@ -278,9 +310,10 @@ class Lattice:
         for k in range(1, int(edges_of.max(initial=0))):
             more = first[edges_of > k] + k
             upto[more] += upto[more - 1]
-        self._put(self.added, start=start + self.nodes, chars=lengths)
+        below = np.where(edges_of > 1, upto[first + edges_of - 2], -1.0)
+        self._put(self.added, start=start + self.nodes, chars=lengths, again=np.zeros(len(lengths), np.int32))
         self.added += len(lengths)
-        self._put(self.nodes, points=points, first=first + self.edges, last=first + edges_of + (self.edges - 1))
+        self._put(self.nodes, points=points, first=first + self.edges, last=first + edges_of + (self.edges - 1), below=below)
         self._put(self.edges, at=e_at + self.nodes, size=e_size, piece=e_piece, log_p=log_p, upto=upto)
         self.nodes += n
         self.edges += total
@@ -324,9 +357,9 @@ def _drawn(mixed: np.ndarray, position: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     x >>= np.uint64(12)
-    out = x.astype(np.float64)
-    out += 0.5
-    out *= 1.0 / (1 << 52)
+    x |= np.uint64(0x3FF << 52)  # 1 + 52 bits, as a float
+    out = x.view(np.float64)
+    out -= 1.0 - 1.0 / (1 << 53)
     return out
 
 
@@ -352,12 +385,12 @@ class _Group:
     """Some texts, their words, and the paths taken so far.
 
     Of a path only the characters where a piece begins are kept: ``place``, with the edge taken there,
-    the log probability ``before`` it and the ``bound`` of the set of paths that leave it there.
+    minus the log probabilities ``spent`` before it, and the ``bound`` of the set of paths that leave it there.
     """
 
     def __init__(self, texts: list[str], seeds: np.ndarray, lattice: Lattice):
         if lattice.nodes > KEPT_NODES:
-            lattice.clear()
+            lattice.forget()
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int32)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int32)
@@ -377,7 +410,7 @@ class _Group:
         self.seeds = seeds
         self.place: list[np.ndarray] = []
         self.edge: list[np.ndarray] = []
-        self.before: list[np.ndarray] = []
+        self.spent: list[np.ndarray] = []
         self.bound: list[np.ndarray] = []
         self.part: list[np.ndarray] = []  # where the texts begin in these arrays
         self.log_p: list[np.ndarray] = []  # of the texts' paths
@@ -395,16 +428,17 @@ class _Group:
             node = at + shift
             u = _drawn(mixed, at)
             # The first edge whose sum reaches u, from the last one back: longer pieces are likelier.
-            e, first = lat.last[node], lat.first[node]
-            open_ = np.flatnonzero(e > first)
+            e = lat.last[node]
+            open_ = np.flatnonzero(u <= lat.below[node])
+            back, first, drawn = e.take(open_) - 1, lat.first[node.take(open_)], u.take(open_)
             while len(open_):
-                open_ = open_[u[open_] <= lat.upto[e[open_] - 1]]
-                e[open_] -= 1
-                open_ = open_[e[open_] > first[open_]]
+                e[open_] = back
+                on = np.flatnonzero((back > first) & (drawn <= lat.upto[back - 1]))
+                open_, back, first, drawn = open_.take(on), back.take(on) - 1, first.take(on), drawn.take(on)
             edge[at] = e
             at = at + lat.size[e]
-            on = at < end
-            at, shift, end, mixed = at[on], shift[on], end[on], mixed[on]
+            on = np.flatnonzero(at < end)
+            at, shift, end, mixed = at.take(on), shift.take(on), end.take(on), mixed.take(on)
         for one in zip(at.tolist(), shift.tolist(), end.tolist(), mixed):
             self._walk_one(*one, edge)
 
@@ -431,38 +465,48 @@ class _Group:
         at = np.flatnonzero(edge >= 0).astype(np.int32)
         edge = edge[at]
         part = np.append(np.searchsorted(at, self.starts), len(at))
-        own = np.repeat(np.arange(len(self.starts), dtype=np.int32), np.diff(part))
         log_p = lat.log_p[edge]
         some = np.flatnonzero(part[1:] > part[:-1])
         total = np.zeros(len(self.starts))  # 0 where a text has no such path
         if len(some):
             total[some] = np.add.reduceat(log_p, part[some])
-        sums = np.concatenate([[0.0], np.cumsum(log_p)])
-        before = sums[:-1] - np.repeat(sums[part[:-1]], np.diff(part))
-        del sums
-        mass = before + _log_rest(log_p)
-        mass[at < begin[own]] = -np.inf
-        limit = np.full(len(at), -np.inf)
-        # The set of the largest mass has at least this bound, whatever is drawn.
-        most = np.full(len(self.starts), -np.inf)
-        if len(at):
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            most[own[first]] = np.maximum.reduceat(mass, first)
-        with np.errstate(over="ignore", invalid="ignore"):
-            least = most - np.log(np.exp(np.minimum(most - bound, 700.0)) + HIGHEST)
-        far = mass + HIGHEST < least[own]
-        near = np.flatnonzero(~far)
-        near = near[np.isfinite(mass[near])]
+        spent = np.concatenate([[0.0], np.cumsum(-log_p)])  # so far, over all texts
+        lead = np.clip(np.searchsorted(at, begin), part[:-1], part[1:])
+
+        def masses(stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """Edges from ``lead`` to ``stop``, their texts, the masses of the sets there, and each text's largest."""
+            counts = stop - lead
+            own = np.repeat(np.arange(len(lead), dtype=np.int32), counts)
+            i = np.arange(len(own)) + np.repeat(stop - np.cumsum(counts), counts)
+            mass = spent[part[own]] - spent[i] + _log_rest(log_p[i])
+            most = np.full(len(lead), -np.inf)
+            np.maximum.at(most, own, mass)
+            return i, own, mass, most
+
+        def least(most: np.ndarray) -> np.ndarray:
+            """The set of the largest mass has at least this bound, whatever is drawn."""
+            with np.errstate(over="ignore", invalid="ignore"):
+                return most - np.log(np.exp(np.minimum(most - bound, 700.0)) + HIGHEST)
+
+        # Masses fall behind what the path has spent, so those near the best lie at its beginning.
+        far = least(masses(np.minimum(lead + HEAD, part[1:]))[3]) - HIGHEST
+        stop = np.clip(np.searchsorted(spent[:-1], spent[part[:-1]] - far + 1e-6, side="right"), lead, part[1:])
+        i, own, mass, most = masses(stop)
+        is_far = mass + HIGHEST < least(most)[own]
         put_off = np.full(len(self.starts), -np.inf)
-        if len(at):
-            put_off[own[first]] = np.maximum.reduceat(np.where(far, mass, -np.inf), first) + HIGHEST
-        self.put_off.append(put_off)
+        np.maximum.at(put_off, own[is_far], mass[is_far])
+        beyond = np.flatnonzero(stop < part[1:])
+        put_off[beyond] = np.maximum(put_off[beyond], spent[part[beyond]] - spent[stop[beyond]])
+        self.put_off.append(put_off + HIGHEST)
         self.drawn.append((begin, bound, stream))
-        u = uniform(self.seeds[own[near]], stream, at[near] - self.starts[own[near]])
-        limit[near] = _below(mass[near], bound[own[near]], u)
+        near = ~is_far & np.isfinite(mass)
+        i, own, mass = i[near], own[near], mass[near]
+        u = uniform(self.seeds[own], stream, at[i] - self.starts[own])
+        limit = np.full(len(at), -np.inf)
+        limit[i] = _below(mass, bound[own], u)
         self.place.append(at)
         self.edge.append(edge)
-        self.before.append(before)
+        self.spent.append(spent)
         self.bound.append(limit)
         self.part.append(part)
         self.log_p.append(total)
@@ -472,7 +516,8 @@ class _Group:
         begin, bound, stream = self.drawn[path]
         a, b = self.part[path][text : text + 2]
         at, old = self.place[path][a:b], self.bound[path][a:b]
-        mass = self.before[path][a:b] + _log_rest(self.lattice.log_p[self.edge[path][a:b]])
+        spent = self.spent[path]
+        mass = spent[a] - spent[a:b] + _log_rest(self.lattice.log_p[self.edge[path][a:b]])
         left = np.isneginf(old) & np.isfinite(mass) & (at >= begin[text])
         left &= [(path, x) not in self.excluded for x in at.tolist()]  # a set that was opened has its bound
         place = at[left] - self.starts[text]
@@ -529,7 +574,8 @@ class _Group:
             edge[at] = edges[pick]
             taken.append(edges[pick])
             rest = p.sum() - p[pick]
-            left = self.before[q][i] + np.log(rest) if rest > 1e-12 else -np.inf
+            before = self.spent[q][self.part[q][t]] - self.spent[q][i]
+            left = before + np.log(rest) if rest > 1e-12 else -np.inf
             self.bound[q][i] = _below(np.array([left]), top[t : t + 1], again[t : t + 1])[0]
             resume.append(at + int(lat.size[edges[pick]]))
             words.append(at)
@@ -635,7 +681,7 @@ def segmentations(
                     end += 1
                 yield rows(batch, texts, seeds, begin, end, lattice)
                 begin = end
-                give_back()
+            give_back()  # not after each group, which would need the same memory again
 
     def rows(batch, texts, seeds, begin, end, lattice) -> pa.RecordBatch:
         v = lattice.v

@@ -144,3 +144,42 @@ def test_words_that_share_a_hash(v):
 def test_the_operator_opens_several_sets(documents):
     rows = ps.segmentations(documents([prose(1, 40)]), PATH, with_ids=False).collect()
     assert sorted(r["sample"] for r in rows) == [1, 2, 3, 4] and len({r["ids_sha256"] for r in rows}) == 4
+
+
+def test_words_that_come_up_again_are_kept(v, monkeypatch):
+    texts = [prose(i, 40) for i in range(6)]
+    seeds = np.arange(len(texts)).astype(np.uint64)
+    wanted = [(tuple(map(int, ids)), score) for _, _, ids, _, score, _ in ps.sample(texts, seeds, v)]
+    lattice, added = ps.Lattice(v), []
+    add = lattice.add
+    monkeypatch.setattr(lattice, "add", lambda points, lengths: (added.append(len(lengths)), add(points, lengths)))
+    monkeypatch.setattr(ps, "KEPT_NODES", 10_000)
+    assert len(list(ps.sample(texts, seeds, v, lattice=lattice))) == len(list(ps.sample(texts, seeds, v, lattice=lattice)))
+    monkeypatch.setattr(ps, "KEPT_NODES", 2 * lattice.nodes)
+    lattice.forget()
+    before = len(added)
+    got = [(tuple(map(int, ids)), score) for _, _, ids, _, score, _ in ps.sample(texts, seeds, v, lattice=lattice)]
+    assert got == wanted and added[before:] in ([], [0])
+    monkeypatch.setattr(ps, "KEPT_NODES", 40)
+    lattice.forget()
+    assert 0 < lattice.nodes <= 20 and lattice.added == len(lattice.hashes)
+    assert [x[2].tolist() for x in ps.sample(texts, seeds, v, lattice=lattice)] == [list(i) for i, _ in wanted]
+
+
+def test_put_off_sets_bound_their_draws(v):
+    """Sets without a bound yet can only be drawn below what is noted for them."""
+    texts = [prose(i, 200) for i in range(8)]
+    seeds = np.arange(len(texts)).astype(np.uint64)
+    group = ps._Group([ps.BLANK + t.replace(" ", ps.BLANK) for t in texts], seeds, ps.Lattice(v))
+    edge = np.full(int(group.ends[-1]), -1, np.int32)
+    group.walk(0, group.word_start.copy(), np.arange(len(group.word_start)), edge)
+    group.add_path(edge, np.zeros(len(texts)), group.starts, 2)
+    most, top = group.put_off[0].copy(), group.best()[0]
+    assert np.isfinite(most).all() and (most <= top).all()
+    old = group.bound[0].copy()
+    for t in range(len(texts)):
+        group._settle(0, t)
+        a, b = group.part[0][t : t + 2]
+        late = np.isneginf(old[a:b])
+        assert np.isfinite(group.bound[0][a:b][late]).any() and group.bound[0][a:b][late].max() <= most[t]
+    assert (group.best()[0] == top).all()
