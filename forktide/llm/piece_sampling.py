@@ -177,11 +177,11 @@ class Lattice:
         counts = self.last[nodes] - self.first[nodes] + 1
         first = np.cumsum(counts) - counts
         edges = np.arange(counts.sum()) + np.repeat(self.first[nodes] - first, counts)
-        of_nodes = {"points": self.points[nodes], "first": first, "last": first + counts - 1, "below": self.below[nodes]}
-        of_edges = {name: getattr(self, name)[edges] for name in ("size", "piece", "log_p", "upto")}
         self._put(0, start=start, chars=chars, again=np.zeros(len(words), np.int32))
-        self._put(0, **of_nodes)
-        self._put(0, at=np.repeat(np.arange(len(nodes)), counts), **of_edges)
+        self._put(0, first=first, last=first + counts - 1, at=np.repeat(np.arange(len(nodes), dtype=np.int32), counts))
+        for chosen, names in ((nodes, ("points", "below")), (edges, ("size", "piece", "log_p", "upto"))):
+            for name in names:  # one by one, which needs the least memory
+                self._put(0, **{name: getattr(self, name)[chosen]})
         self.hashes, self.number = hashes, number
         self.nodes, self.edges, self.added = len(nodes), len(edges), len(words)
 
