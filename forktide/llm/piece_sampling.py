@@ -34,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ BLANK = "▁"
 SAMPLES = 4
 SHARPNESS = 1.0
 GROUP_CHARS = 400_000
-KEPT_NODES = 2_000_000  # characters of the words whose lattices are kept from group to group
+KEPT_NODES = 500_000  # characters of the words whose lattices are kept from group to group
 LONG = 512  # characters of a word beyond which its nodes are taken one by one
 ADDED = 100_000  # characters of words that are added together
 FEW = 8  # words that are walked together at least
@@ -139,8 +140,8 @@ class Lattice:
     """Lattices of distinct words, laid end to end; words are added when they first come up.
 
     A node is a character position. The edges of a node are neighbours in the edge arrays: ``piece``
-    (-1: byte pieces of the character), ``size`` in characters, ``log_p`` (log probability of the edge
-    given the node) and ``upto`` (sum of the probabilities up to it); ``below`` is that sum for the last
+    (-1: byte pieces of the character), ``size`` in characters (both as narrow as the vocabulary allows),
+    ``log_p`` (log probability of the edge given the node) and ``upto`` (sum of the probabilities up to it); ``below`` is that sum for the last
     edge but one of a node, -1 if there is one edge only. ``again`` counts by word the groups in which it
     came up again.
     """
@@ -152,7 +153,8 @@ class Lattice:
         self.again = np.empty(0, np.int32)
         self.points = np.empty(0, np.uint32)
         self.first, self.last, self.below = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
-        self.at, self.size, self.piece = np.empty(0, np.int32), np.empty(0, np.int16), np.empty(0, np.int32)
+        self.size = np.empty(0, np.min_scalar_type(v.longest))
+        self.piece = np.empty(0, np.promote_types(np.int16, np.min_scalar_type(-len(v.bytes_of))))
         self.log_p, self.upto = np.empty(0), np.empty(0)
 
     def clear(self) -> None:
@@ -178,7 +180,7 @@ class Lattice:
         first = np.cumsum(counts) - counts
         edges = np.arange(counts.sum()) + np.repeat(self.first[nodes] - first, counts)
         self._put(0, start=start, chars=chars, again=np.zeros(len(words), np.int32))
-        self._put(0, first=first, last=first + counts - 1, at=np.repeat(np.arange(len(nodes), dtype=np.int32), counts))
+        self._put(0, first=first, last=first + counts - 1)
         for chosen, names in ((nodes, ("points", "below")), (edges, ("size", "piece", "log_p", "upto"))):
             for name in names:  # one by one, which needs the least memory
                 self._put(0, **{name: getattr(self, name)[chosen]})
@@ -314,7 +316,7 @@ class Lattice:
         self._put(self.added, start=start + self.nodes, chars=lengths, again=np.zeros(len(lengths), np.int32))
         self.added += len(lengths)
         self._put(self.nodes, points=points, first=first + self.edges, last=first + edges_of + (self.edges - 1), below=below)
-        self._put(self.edges, at=e_at + self.nodes, size=e_size, piece=e_piece, log_p=log_p, upto=upto)
+        self._put(self.edges, size=e_size, piece=e_piece, log_p=log_p, upto=upto)
         self.nodes += n
         self.edges += total
 
@@ -567,7 +569,7 @@ class _Group:
         for t, i in where.items():
             q, at = int(path[t]), int(leave[t])
             taken = self.excluded.setdefault((q, at), [int(self.edge[q][i])])
-            node = lat.at[taken[0]]
+            node = at + int(self.shift[np.searchsorted(self.word_end, at, side="right")])
             edges = [e for e in range(lat.first[node], lat.last[node] + 1) if e not in taken]
             p = np.exp(lat.log_p[edges])
             pick = min(int(np.searchsorted(np.cumsum(p), u[t] * p.sum())), len(edges) - 1)
@@ -595,11 +597,12 @@ class _Group:
     def pieces(self, path: int, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts' paths, and where those of each text begin."""
         lat, edge, part = self.lattice, self.edge[path], self.part[path]
-        ids = lat.piece[edge]
+        ids = lat.piece[edge].astype(np.int32)
         raw = np.flatnonzero(ids < 0)
         if not len(raw):
             return ids, part
-        c = lat.points[lat.at[edge[raw]]].astype(np.int64)
+        at = self.place[path][raw]
+        c = lat.points[at + self.shift[np.searchsorted(self.word_end, at, side="right")]].astype(np.int64)
         sizes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
         counts = np.ones(len(ids), np.int64)
         counts[raw] = sizes
@@ -671,28 +674,30 @@ def segmentations(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = kept_lattice(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            seeds = batch.column("_seed").to_numpy().view(np.uint64)
+            # Only a group's texts are Python strings at a time.
+            sizes = pc.utf8_length(batch.column(text)).fill_null(0).to_pylist()
             begin = 0
-            while begin < len(texts):
+            while begin < len(sizes):
                 end, chars = begin, 0
-                while end < len(texts) and (end == begin or chars + len(texts[end]) <= GROUP_CHARS):
-                    chars += len(texts[end])
+                while end < len(sizes) and (end == begin or chars + sizes[end] <= GROUP_CHARS):
+                    chars += sizes[end]
                     end += 1
-                yield rows(batch, texts, seeds, begin, end, lattice)
+                yield rows(batch.slice(begin, end - begin), lattice)
                 begin = end
             give_back()  # not after each group, which would need the same memory again
 
-    def rows(batch, texts, seeds, begin, end, lattice) -> pa.RecordBatch:
+    def rows(batch: pa.RecordBatch, lattice: Lattice) -> pa.RecordBatch:
         v = lattice.v
-        full = [i for i in range(begin, end) if texts[i]]
-        empty = [i for i in range(begin, end) if not texts[i]]
+        texts = [t or "" for t in batch.column(text).to_pylist()]
+        seeds = batch.column("_seed").to_numpy().view(np.uint64)
+        full = [i for i in range(len(texts)) if texts[i]]
+        empty = [i for i in range(len(texts)) if not texts[i]]
         found = [(i, 1, np.zeros(0, np.int32), 0.0, 0.0, 1.0) for i in empty]
         if full:
             drawn = sample([texts[i] for i in full], seeds[full], v, k, lattice)
             found += [(full[t], *rest) for t, *rest in drawn]
         ids = [f[2] for f in found]
-        wanted = {i: (BLANK + texts[i].replace(" ", BLANK)).encode() if texts[i] else b"" for i in range(begin, end)}
+        wanted = {i: (BLANK + texts[i].replace(" ", BLANK)).encode() if texts[i] else b"" for i in range(len(texts))}
         at = pa.array([f[0] for f in found], pa.int64())
         columns = [
             batch.column(key).take(at),

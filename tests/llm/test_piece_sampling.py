@@ -183,3 +183,14 @@ def test_put_off_sets_bound_their_draws(v):
         late = np.isneginf(old[a:b])
         assert np.isfinite(group.bound[0][a:b][late]).any() and group.bound[0][a:b][late].max() <= most[t]
     assert (group.best()[0] == top).all()
+
+
+def test_kept_lattices_are_small(v):
+    """Twelve groups of 100,000 characters of words that never come up again."""
+    letters = np.random.default_rng(3).integers(ord("a"), ord("z") + 1, (12, 100_000)).astype(np.uint8)
+    letters[:, ::8] = ord(" ")
+    lattice = ps.Lattice(v)
+    for seed, text in enumerate(letters):
+        (row,) = ps.sample([text.tobytes().decode()], np.array([seed], np.uint64), v, 1, lattice)
+        assert ps.decode(row[2], v).encode() == text.tobytes()
+    assert sum(x.nbytes for x in vars(lattice).values() if isinstance(x, np.ndarray)) < 60_000_000
